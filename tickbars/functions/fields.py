@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 # Text accepted as a number ("12d" and hexadecimal floats are not).
 DECIMAL_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
+# A file name less its extension, and the date digits at its end.
+STEM_PATTERN = r"([^/]+?)(?:\.[^./]*)?$"
+LAST_DATE_PATTERN = r"((?!0000)[0-9]{8})$"
+
 
 def lenient_double(value: Column) -> Column:
     """Double of a number or numeric text, else null; NaN counts as null."""
@@ -24,17 +28,11 @@ def lenient_bigint(value: Column) -> Column:
     return value.try_cast("bigint")
 
 
-def file_stem(path: Column) -> Column:
-    name = F.regexp_extract(path, r"([^/]*)$", 1)
-    return F.regexp_replace(name, r"(?<=.)\.[^.]*$", "")
-
-
 def file_date(path: Column) -> Column:
     """Date in the last eight digits of a file's stem, else null."""
-    digits = F.regexp_replace(file_stem(path), "[^0-9]", "")
-    last8 = F.right(digits, F.lit(8))
-    usable = (F.length(digits) >= 8) & ~last8.startswith("0000")
-    return F.when(usable, F.try_to_date(last8, "yyyyMMdd"))
+    stem = F.regexp_extract(path, STEM_PATTERN, 1)
+    last_digits = F.regexp_extract(F.regexp_replace(stem, "[^0-9]", ""), LAST_DATE_PATTERN, 1)
+    return F.try_to_date(last_digits, "yyyyMMdd")
 
 
 def coercion_failed(price: Column, volume: Column, ts: Column) -> Column:

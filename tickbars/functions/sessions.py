@@ -6,10 +6,11 @@ date: no join, no shuffle, and the predicate moves down to the scan.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tickbars.functions.timestamps import second_of_day
 from tickbars.settings import Hours, SessionRules
 
 FRIDAY = 4
@@ -32,18 +33,18 @@ def _case(pairs: list[tuple[Column, Column]]) -> Column:
 
 
 def in_session(ts_local: Column, trade_date: Column, rules: SessionRules) -> Column:
-    """True when the local time lies in a window of its date, both ends included."""
-    second = second_of_day(ts_local)
-    # 15:30:00 passes, 15:30:00.000001 does not.
-    on_the_second = F.extract(F.lit("SECOND"), ts_local) == second % 60
+    """True when the local time lies in a window of its date, both ends included.
+
+    To the microsecond: 15:30:00 passes, 15:30:00.000001 does not. The time is
+    read several times, so let it be a stored column rather than a conversion.
+    """
+    clock = ts_local - trade_date.cast("timestamp_ntz")
 
     def inside(windows: tuple[Hours, ...]) -> Column:
         test = F.lit(False)
         for w in windows:
-            test = test | (
-                (second >= w.first_second)
-                & ((second < w.last_second) | ((second == w.last_second) & on_the_second))
-            )
+            ends = (F.lit(timedelta(seconds=s)) for s in (w.first_second, w.last_second))
+            test = test | clock.between(*ends)
         return test
 
     return _case([(condition, inside(windows)) for condition, windows in _branches(trade_date, rules)])

@@ -135,9 +135,17 @@ def _moved(now: Column, before: Column, pct: float) -> Column:
     return F.coalesce(F.abs(now - before) / before > pct, F.lit(False))
 
 
-def _slice_number(ts: Column, settings: Settings) -> Column:
-    # The zone offset is a whole number of minutes, so UTC seconds do.
-    return (second_of_day(ts) / settings.limits.slice_seconds).cast("int")
+def _slice(ts: Column, settings: Settings) -> Column:
+    """Number of the time slice since 1970; it fixes the trade date as well."""
+    day = F.date_diff(F.to_date(ts), F.lit(date(1970, 1, 1))).cast("bigint")
+    per_day = 86_400 // settings.limits.slice_seconds
+    return day * per_day + F.floor(second_of_day(ts) / settings.limits.slice_seconds)
+
+
+def _with_neighbours(trades: DataFrame, *slice_key: str) -> DataFrame:
+    """Prices before and after each trade within its slice, null at its ends."""
+    within = W.partitionBy(*slice_key).orderBy("ts_utc", "price", "volume")
+    return trades.withColumns({"before": F.lag("price").over(within), "after": F.lead("price").over(within)})
 
 
 def flag_spikes(trades: DataFrame, settings: Settings) -> DataFrame:
@@ -147,26 +155,20 @@ def flag_spikes(trades: DataFrame, settings: Settings) -> DataFrame:
     (ts, price, volume). A task sorts one time slice at a time; the first
     trade of a slice is compared with the last price of the slice before,
     found on a table of one row per slice (86,400 a symbol-day at most).
+
+    Both branches read ``trades``: give it a stored table, or a plan whose
+    shuffle Spark can reuse.
     """
-    slice_key = [*SYMBOL_DAY, "utc_date", "slice"]
-    order = F.struct("ts_utc", "price", "volume")
-    sliced = trades.select(
-        *TRADE,
-        F.to_date("ts_utc").alias("utc_date"),
-        _slice_number(F.col("ts_utc"), settings).alias("slice"),
+    slice_key = ["symbol", "slice"]
+    sliced = trades.select(*TRADE, _slice(F.col("ts_utc"), settings).alias("slice"))
+    within = _with_neighbours(sliced, *slice_key)
+    across = W.partitionBy(*SYMBOL_DAY).orderBy("slice")
+    carried = within.filter(F.col("after").isNull()).select(
+        *slice_key, F.lag("price").over(across).alias("carried")
     )
-    inner = W.partitionBy(*slice_key).orderBy("ts_utc", "price", "volume")
-    across = W.partitionBy(*SYMBOL_DAY).orderBy("utc_date", "slice")
-    carried = (
-        sliced.groupBy(*slice_key)
-        .agg(F.max_by("price", order).alias("last_price"))
-        .select(*slice_key, F.lag("last_price").over(across).alias("carried_price"))
-    )
-    before = F.coalesce(F.col("inner_price"), F.col("carried_price"))
-    return (
-        sliced.withColumn("inner_price", F.lag("price").over(inner))
-        .join(carried, slice_key)
-        .select(*TRADE, _moved(F.col("price"), before, settings.limits.spike_pct).alias("spike_flag"))
+    before = F.coalesce(F.col("before"), F.col("carried"))
+    return within.join(carried, slice_key).select(
+        *TRADE, _moved(F.col("price"), before, settings.limits.spike_pct).alias("spike_flag")
     )
 
 
@@ -176,6 +178,20 @@ def clean_ticks(ticks: DataFrame, settings: Settings) -> DataFrame:
     return flagged.withColumn("ts_local", to_local(F.col("ts_utc"), settings.timezone))
 
 
+# What became of a tick, as ``clean_stats`` marks it.
+KEPT, OFF_SESSION, UNUSABLE, UNREADABLE = range(4)
+
+
+def _fate(settings: Settings) -> Column:
+    symbol, price, volume = F.col("symbol"), F.col("price"), F.col("volume")
+    return (
+        F.when(coercion_failed(price, volume, F.col("ts_utc")), UNREADABLE)
+        .when(symbol.isNull() | (price <= 0) | (volume < 0), UNUSABLE)
+        .when(in_session(F.col("ts_local"), F.col("trade_date"), settings.session), KEPT)
+        .otherwise(OFF_SESSION)
+    )
+
+
 def clean_stats(ticks: DataFrame, settings: Settings) -> DataFrame:
     """Cleaning counters of every day in one pass over the ticks.
 
@@ -183,45 +199,37 @@ def clean_stats(ticks: DataFrame, settings: Settings) -> DataFrame:
     shuffle, and unusable rows carry no key, so each day has only a few
     groups of them. A row without a timestamp counts for the date of its file.
     """
-    usable = _defect().isNull()
-
-    def key(name: str) -> Column:
-        return F.when(usable, F.col(name)).alias(name)
-
-    marks = ["day", "usable", "failed", "on_session"]
+    usable = F.col("fate") <= OFF_SESSION
+    trade = ("symbol", "ts_utc", "price", "volume")
     counted = (
-        ticks.select(
+        ticks.withColumn("fate", _fate(settings))
+        .select(
+            "fate",
             F.coalesce(F.col("trade_date"), file_date(F.col("source_file"))).alias("day"),
-            usable.alias("usable"),
-            coercion_failed(F.col("price"), F.col("volume"), F.col("ts_utc")).alias("failed"),
-            F.coalesce(
-                usable & in_session(F.col("ts_local"), F.col("trade_date"), settings.session), F.lit(False)
-            ).alias("on_session"),
-            *(key(c) for c in ("symbol", "ts_utc", "price", "volume")),
+            *(F.when(usable, F.col(c)).alias(c) for c in trade),
         )
-        .groupBy(*marks, "symbol", "ts_utc", "price", "volume")
+        .groupBy("fate", "day", *trade)
         .agg(F.count("*").alias("n"))
-        .withColumn("utc_date", F.to_date("ts_utc"))
-        .withColumn("slice", _slice_number(F.col("ts_utc"), settings))
+        # Unusable rows form one slice per day and kind.
+        .withColumn("slice", F.coalesce(_slice(F.col("ts_utc"), settings), -F.unix_date("day").cast("bigint")))
     )
-    slice_key = [*marks, "symbol", "utc_date", "slice"]
-    order = F.struct("ts_utc", "price", "volume")
-    inner = W.partitionBy(*slice_key).orderBy("ts_utc", "price", "volume")
     pct = settings.limits.spike_pct
+    price, before, after = F.col("price"), F.col("before"), F.col("after")
     slices = (
-        counted.withColumn("moved", _moved(F.col("price"), F.lag("price").over(inner), pct))
-        .groupBy(*slice_key)
+        _with_neighbours(counted, "fate", "symbol", "slice")
+        .groupBy("fate", "symbol", "slice")
         .agg(
+            F.min("day").alias("day"),
             F.sum("n").alias("n"),
             F.count("*").alias("trades"),
-            F.count_if("moved").alias("spikes"),
-            F.min_by("price", order).alias("first_price"),
-            F.max_by("price", order).alias("last_price"),
+            F.count_if(_moved(price, before, pct)).alias("spikes"),
+            F.max(F.when(before.isNull(), price)).alias("first_price"),
+            F.max(F.when(after.isNull(), price)).alias("last_price"),
         )
     )
-    across = W.partitionBy(*marks, "symbol").orderBy("utc_date", "slice")
+    across = W.partitionBy("fate", "symbol", "day").orderBy("slice")
     edge = _moved(F.col("first_price"), F.lag("last_price").over(across), pct).cast("int")
-    on = F.col("on_session")
+    fate, n, trades = F.col("fate"), F.col("n"), F.col("trades")
 
     def total(value: Column, condition: Column | None = None) -> Column:
         chosen = value if condition is None else F.when(condition, value)
@@ -231,12 +239,12 @@ def clean_stats(ticks: DataFrame, settings: Settings) -> DataFrame:
         slices.withColumn("spikes", F.col("spikes") + edge)
         .groupBy(F.col("day").alias("trade_date"))
         .agg(
-            total(F.col("n")).alias("input_rows"),
-            total(F.col("n"), F.col("failed")).alias("coercion_failures"),
-            total(F.col("n"), ~F.col("usable")).alias("invalid_dropped"),
-            total(F.col("n") - F.col("trades"), F.col("usable")).alias("duplicates_dropped"),
-            total(F.col("trades"), F.col("usable") & ~on).alias("out_of_session_dropped"),
-            total(F.col("spikes"), on).alias("spikes_flagged"),
-            total(F.col("trades"), on).alias("output_rows"),
+            total(n).alias("input_rows"),
+            total(n, fate == UNREADABLE).alias("coercion_failures"),
+            total(n, fate >= UNUSABLE).alias("invalid_dropped"),
+            total(n - trades, fate <= OFF_SESSION).alias("duplicates_dropped"),
+            total(trades, fate == OFF_SESSION).alias("out_of_session_dropped"),
+            total(F.col("spikes"), fate == KEPT).alias("spikes_flagged"),
+            total(trades, fate == KEPT).alias("output_rows"),
         )
     )

@@ -18,7 +18,6 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickbars.functions.timestamps import to_local
 from tickbars.operators.bars import candles_1m
 from tickbars.operators.ticks import session_trades, with_local_time
 from tickbars.schemas import TICKS, conform
@@ -44,32 +43,38 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def tick_feed(spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS) -> DataFrame:
-    """Ticks with dirt; some days come twice, from files A and B."""
-    n, k = F.col("event_id"), F.get_json_object("props", "$.k").cast("bigint")
-    day = F.day(to_local(F.col("ts"), "Asia/Karachi"))
-    twice = (day % 5 == 0) | (day % 7 == 0)
+def tick_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks with dirt; some days come twice, from files A and B.
+
+    The copies are generated after the local time is known, so a filter on it
+    does not work it out again for every comparison.
+    """
+    stamped = with_local_time(events(spark, sf_dir).withColumn("ts_utc", F.col("ts")), SETTINGS)
+    day = F.day("trade_date")
+    copied = stamped.select(
+        "event_id", "event_type", "ts_utc", "ts_local", "trade_date", "value",
+        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+        ((day % 5 == 0) | (day % 7 == 0)).alias("twice"),
+        (day % 7 == 0).alias("altered"),
+    ).withColumn("source_file", F.explode(F.when(F.col("twice"), F.array(F.lit("A"), F.lit("B"))).otherwise(F.array(F.lit("A")))))
+    n, price, second = F.col("event_id"), F.col("value"), F.col("source_file") == "B"
 
     def dirt(every: int) -> Column:
-        return (n % every == 0) & ~twice
-
-    first = F.struct(
-        F.when(~dirt(101), F.col("event_type")).alias("symbol"),
-        F.when(~dirt(83), F.col("ts")).alias("ts_utc"),
-        F.when(dirt(97), -F.col("value")).otherwise(F.col("value")).alias("price"),
-        F.when(dirt(89), None).when(dirt(79), F.lit(-1)).otherwise(k).cast("bigint").alias("volume"),
-        F.lit("A").alias("source_file"),
-    )
-    second = F.struct(
-        F.col("event_type").alias("symbol"),
-        F.col("ts").alias("ts_utc"),
-        F.when((day % 7 == 0) & (n % 5 == 0), F.col("value") + 1).otherwise(F.col("value")).alias("price"),
-        k.alias("volume"),
-        F.lit("B").alias("source_file"),
+        return (F.col("source_file") == "A") & (n % every == 0) & ~F.col("twice")
+
+    return conform(
+        copied.select(
+            F.when(~dirt(101), F.col("event_type")).alias("symbol"),
+            *(F.when(~dirt(83), F.col(c)).alias(c) for c in ("ts_utc", "ts_local", "trade_date")),
+            F.when(dirt(97), -price)
+            .when(second & F.col("altered") & (n % 5 == 0), price + 1)
+            .otherwise(price)
+            .alias("price"),
+            F.when(dirt(89), None).when(dirt(79), F.lit(-1)).otherwise(F.col("k")).alias("volume"),
+            "source_file",
+        ),
+        TICKS,
     )
-    copies = F.when(twice, F.array(first, second)).otherwise(F.array(first))
-    feed = events(spark, sf_dir).select(F.inline(copies))
-    return conform(with_local_time(feed, settings), TICKS)
 
 
 def iso_text(ts: Column) -> Column:

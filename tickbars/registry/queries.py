@@ -302,7 +302,7 @@ def tick_spikes(spark, sf):
 
 @query
 def clean_ticks(spark, sf):
-    return ticks.clean_ticks(feed.tick_feed(spark, sf, OVERRIDES), OVERRIDES)
+    return ticks.clean_ticks(feed.tick_feed(spark, sf), OVERRIDES)
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -40,3 +40,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
 def make_dir(spark: SparkSession, path: str) -> None:
     target, fs = _file_system(spark, path)
     fs.mkdirs(target)
+
+
+def saved(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in a new shared folder.
+
+    For a frame that several branches of a plan read: it is computed once,
+    and its lineage ends here.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
