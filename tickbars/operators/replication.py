@@ -4,6 +4,9 @@ A copy is everything one source file holds for a day. All copies of all days
 are compared in one aggregate, so neither the number of copies nor the size
 of one of them matters, and a minute that only some copies have counts as a
 disagreement.
+
+Only tables with one row per calendar date are broadcast: at most 3.7 million
+short rows, for dates run from year 1 to 9999.
 """
 
 from __future__ import annotations

@@ -1,4 +1,8 @@
-"""Day status rows and the gates that use them."""
+"""Day status rows and the gates that use them.
+
+Only tables with one row per calendar date are broadcast. Dates run from year
+1 to 9999, so such a table has at most 3.7 million short rows.
+"""
 
 from __future__ import annotations
 

@@ -8,7 +8,7 @@ last price over from slice to slice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -172,9 +172,16 @@ def flag_spikes(trades: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def clean_ticks(ticks: DataFrame, settings: Settings) -> DataFrame:
-    """Typed ticks of all days to clean ticks with a ``spike_flag``."""
-    flagged = flag_spikes(session_trades(ticks, settings), settings)
+def clean_ticks(
+    ticks: DataFrame, settings: Settings, keep: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """Typed ticks of all days to clean ticks with a ``spike_flag``.
+
+    ``keep`` stores the distinct trades and gives them back, so that spike
+    detection, which reads them twice, does not work them out twice.
+    """
+    trades = session_trades(ticks, settings)
+    flagged = flag_spikes(keep(trades) if keep else trades, settings)
     return flagged.withColumn("ts_local", to_local(F.col("ts_utc"), settings.timezone))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tickbars.functions.fields import file_date
 from tickbars.operators import bars, calendar, quality, replication, reports, status, ticks
-from tickbars.schemas import COPY_CANDLES, DATES
+from tickbars.schemas import CHECKED_CANDLES, COPY_CANDLES, DATES
 from tickbars.settings import Settings
 from tickbars.sources import store as tables
 from tickbars.sources.files import read_raw_ticks
@@ -37,8 +37,12 @@ def run_timestamp(built_at: datetime | None = None) -> Column:
 
 
 def ingest(spark: SparkSession, path: str | list[str], store: Store, settings: Settings) -> None:
-    """Raw files to the archive: one pass, no shuffle."""
-    store.archive(ticks.normalise_ticks(read_raw_ticks(spark, path, settings), settings))
+    """Raw files to the archive in one pass."""
+    archive(store, ticks.normalise_ticks(read_raw_ticks(spark, path, settings), settings), settings)
+
+
+def archive(store: Store, normalised: DataFrame, settings: Settings) -> None:
+    store.archive(normalised, cluster=settings.file_layout != "one_per_day")
 
 
 def archived_dates(store: Store) -> DataFrame:
@@ -70,33 +74,33 @@ def process_days(
             verdicts = store.read(tables.DEDUP_LOG, days)
             contradicted = replication.conflict_dates(verdicts)
             feed = replication.collapse_copies(feed, verdicts)
-
         candles = bars.candles_1m(ticks.session_trades(feed, settings), settings)
-        store.replace_days(tables.CHECKED, quality.validate_candles(candles, settings), days)
-        checked = store.read(tables.CHECKED, days)
-
-        stats = status.classify_days(days, quality.day_stats(checked, settings), contradicted)
-        store.replace_days(tables.VALIDATION, stats, days)
-        stats = store.read(tables.VALIDATION, days)
-
-        store.replace_days(tables.QUARANTINE, quality.quarantined_candles(checked), days)
-        loadable = status.loadable_candles(quality.valid_candles(checked), stats)
-        if write_mode == "replace_day":
-            store.replace_days(tables.CANDLES, loadable, days)
-            loaded = store.read(tables.CANDLES, days)
-            rows = status.symbol_day_status(loaded, now).unionByName(status.market_day_status(stats, now))
-            store.replace_days(tables.DAY_STATUS, rows, days)
-        else:
-            store.upsert(tables.CANDLES, loadable)
-            store.upsert(tables.DAY_STATUS, status.symbol_day_status(loadable, now))
-            store.partial_upsert(
-                tables.DAY_STATUS,
-                status.market_day_status(stats, now).select("symbol", "trade_date", "status", "reason", "built_at"),
-                ["status", "reason", "built_at"],
-                {"minutes_count": F.lit(0)},
-            )
-        if csv:
-            store.write_candle_csvs(status.loadable_candles(quality.valid_candles(checked), stats))
+        with store.staged(quality.validate_candles(candles, settings), CHECKED_CANDLES) as checked:
+            stats = status.classify_days(days, quality.day_stats(checked, settings), contradicted)
+            store.replace_days(tables.VALIDATION, stats, days)
+            stats = store.read(tables.VALIDATION, days)
+            store.replace_days(tables.QUARANTINE, quality.quarantined_candles(checked), days, stage=False)
+            loadable = status.loadable_candles(quality.valid_candles(checked), stats)
+            _write_candles(store, write_mode, loadable, stats, days, now)
+            if csv:
+                store.write_candle_csvs(loadable)
+
+
+def _write_candles(
+    store: Store, write_mode: str, loadable: DataFrame, stats: DataFrame, days: DataFrame, now: Column
+) -> None:
+    own = status.symbol_day_status(loadable, now)
+    market = status.market_day_status(stats, now)
+    if write_mode == "replace_day":
+        store.replace_days(tables.CANDLES, loadable, days, stage=False)
+        store.replace_days(tables.DAY_STATUS, own.unionByName(market), days)
+        return
+    store.upsert(tables.CANDLES, loadable)
+    store.upsert(tables.DAY_STATUS, own)
+    changes = market.select("symbol", "trade_date", "status", "reason", "built_at")
+    store.partial_upsert(
+        tables.DAY_STATUS, changes, ["status", "reason", "built_at"], {"minutes_count": F.lit(0)}
+    )
 
 
 def _write_tick_reports(store: Store, settings: Settings, feed: DataFrame, days: DataFrame) -> None:

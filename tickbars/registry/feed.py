@@ -24,7 +24,7 @@ from tickbars.schemas import TICKS, conform
 from tickbars.settings import DatedHours, Hours, Limits, SessionRules, Settings
 
 SETTINGS = Settings(
-    timestamp_format="iso", source_format="csv", limits=Limits(min_session_minutes=80, min_symbol_minutes=20)
+    timestamp_format="iso", source_format="csv", file_layout="single_file", limits=Limits(min_session_minutes=80, min_symbol_minutes=20)
 )
 
 # The regular rules plus dated hours from Tuesday to Friday.

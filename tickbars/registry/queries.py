@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from tickbars.registry.feed import OVERRIDES, SETTINGS
 from tickbars.settings import SourceColumns
 from tickbars.sources import store as tables
 from tickbars.sources.files import map_columns, read_csv_ticks, read_sqlite_ticks
-from tickbars.sources.paths import scratch_dir
+from tickbars.sources.paths import saved, scratch_dir
 from tickbars.sources.store import Store
 from tickbars.streaming.incremental import incremental_update
 
@@ -44,36 +45,45 @@ def _store(spark: SparkSession, label: str) -> Store:
     return Store(spark, scratch_dir(spark, label))
 
 
-def _trades(spark: SparkSession, sf: str) -> DataFrame:
-    return ticks.session_trades(feed.tick_feed(spark, sf), SETTINGS)
+class Day:
+    """Frames that the status, report and shaping queries of one call share.
 
+    What several branches read is stored once and read back.
+    """
 
-def _checked(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.validate_candles(feed.candle_feed(spark, sf), SETTINGS)
+    def __init__(self, spark: SparkSession, sf: str) -> None:
+        self.spark, self.sf = spark, sf
 
+    @cached_property
+    def checked(self) -> DataFrame:
+        return saved(quality.validate_candles(feed.candle_feed(self.spark, self.sf), SETTINGS), "checked")
 
-def _stats(spark: SparkSession, sf: str) -> DataFrame:
-    """Statistics of every day with ticks, also of days that gave no candle."""
-    days = ticks.ticks_for_dates(feed.tick_feed(spark, sf))
-    return status.classify_days(days, quality.day_stats(_checked(spark, sf), SETTINGS))
+    @cached_property
+    def stats(self) -> DataFrame:
+        """Statistics of every day with ticks, also of days that gave no candle."""
+        fed = ticks.ticks_for_dates(feed.tick_feed(self.spark, self.sf))
+        return saved(status.classify_days(fed, quality.day_stats(self.checked, SETTINGS)), "stats")
 
+    @property
+    def loaded(self) -> DataFrame:
+        return status.loadable_candles(quality.valid_candles(self.checked), self.stats)
 
-def _loaded(spark: SparkSession, sf: str) -> DataFrame:
-    checked = _checked(spark, sf)
-    return status.loadable_candles(quality.valid_candles(checked), quality.day_stats(checked, SETTINGS))
-
-
-def _status(spark: SparkSession, sf: str) -> DataFrame:
-    own = status.symbol_day_status(_loaded(spark, sf), _stamp(FIRST_RUN))
-    return own.unionByName(status.market_day_status(_stats(spark, sf), _stamp(FIRST_RUN)))
+    @property
+    def status(self) -> DataFrame:
+        own = status.symbol_day_status(self.loaded, _stamp(FIRST_RUN))
+        return own.unionByName(status.market_day_status(self.stats, _stamp(FIRST_RUN)))
 
+    @property
+    def expected(self) -> DataFrame:
+        """Expected days over the range the events span."""
+        dated = ticks.with_local_time(feed.events(self.spark, self.sf).select(F.col("ts").alias("ts_utc")), SETTINGS)
+        return calendar.trading_days(
+            calendar.day_range(dated), calendar.holidays(self.spark, feed.CLOSED), SETTINGS.session
+        )
 
-def _days(spark: SparkSession, sf: str) -> DataFrame:
-    """Expected days over the range the events span."""
-    dated = ticks.with_local_time(feed.events(spark, sf).select(F.col("ts").alias("ts_utc")), SETTINGS)
-    return calendar.trading_days(
-        calendar.day_range(dated), calendar.holidays(spark, feed.CLOSED), SETTINGS.session
-    )
+    @property
+    def coverage(self) -> DataFrame:
+        return reports.coverage(self.expected, self.stats)
 
 
 # Timestamps -----------------------------------------------------------------
@@ -297,12 +307,13 @@ def session_windows(spark, sf):
 
 @query
 def tick_spikes(spark, sf):
-    return ticks.flag_spikes(_trades(spark, sf), SETTINGS)
+    trades = saved(ticks.session_trades(feed.tick_feed(spark, sf), SETTINGS), "trades")
+    return ticks.flag_spikes(trades, SETTINGS)
 
 
 @query
 def clean_ticks(spark, sf):
-    return ticks.clean_ticks(feed.tick_feed(spark, sf), OVERRIDES)
+    return ticks.clean_ticks(feed.tick_feed(spark, sf), OVERRIDES, keep=lambda df: saved(df, "trades"))
 
 
 @query
@@ -330,18 +341,19 @@ def bars_15m(spark, sf):
 
 @query
 def daily_bars(spark, sf):
-    candles = quality.valid_candles(_checked(spark, sf))
-    return shaping.gated_daily_bars(candles, _status(spark, sf))
+    day = Day(spark, sf)
+    return shaping.gated_daily_bars(quality.valid_candles(day.checked), day.status)
 
 
 @query
 def flat_fill(spark, sf):
-    return shaping.flat_fill(_loaded(spark, sf), SETTINGS)
+    return shaping.flat_fill(Day(spark, sf).loaded, SETTINGS)
 
 
 @query
 def carry_close(spark, sf):
-    return shaping.carry_close(bars.daily_bars(_loaded(spark, sf)), _days(spark, sf), _stats(spark, sf))
+    day = Day(spark, sf)
+    return shaping.carry_close(bars.daily_bars(day.loaded), day.expected, day.stats)
 
 
 # Validation -----------------------------------------------------------------
@@ -391,7 +403,7 @@ def constraint_violations(spark, sf):
 def validation_report(spark, sf):
     """Day statistics written as a report and read back."""
     store = _store(spark, "report")
-    stats = _stats(spark, sf)
+    stats = Day(spark, sf).stats
     store.replace_days(tables.VALIDATION, reports.validation_report(stats), stats)
     return store.read(tables.VALIDATION)
 
@@ -400,7 +412,7 @@ def validation_report(spark, sf):
 
 
 def _copies(spark: SparkSession, sf: str) -> DataFrame:
-    return replication.copy_candles(feed.tick_feed(spark, sf))
+    return saved(replication.copy_candles(feed.tick_feed(spark, sf)), "copies")
 
 
 @query
@@ -435,66 +447,68 @@ def collapse_copies(spark, sf):
 
 @query
 def loadable_candles(spark, sf):
-    return _loaded(spark, sf)
+    return Day(spark, sf).loaded
 
 
 @query
 def symbol_day_status(spark, sf):
-    return status.symbol_day_status(_loaded(spark, sf), _stamp(FIRST_RUN))
+    return status.symbol_day_status(Day(spark, sf).loaded, _stamp(FIRST_RUN))
 
 
 @query
 def classified_days(spark, sf):
-    """Days of all ticks, with conflicts; days without session ticks are corrupt."""
-    fed = ticks.ticks_for_dates(feed.tick_feed(spark, sf))
+    """Statistics of all days, those with contradicting copies marked."""
     conflicts = replication.conflict_dates(replication.replication_audit(_copies(spark, sf)))
-    return status.classify_days(fed, quality.day_stats(_checked(spark, sf), SETTINGS), conflicts)
+    day = Day(spark, sf)
+    fed = ticks.ticks_for_dates(feed.tick_feed(spark, sf))
+    return status.classify_days(fed, quality.day_stats(day.checked, SETTINGS), conflicts)
 
 
 @query
 def expected_days(spark, sf):
-    return _days(spark, sf)
+    return Day(spark, sf).expected
 
 
 @query
 def coverage(spark, sf):
-    return reports.coverage(_days(spark, sf), _stats(spark, sf))
+    return Day(spark, sf).coverage
 
 
 @query
 def coverage_summary(spark, sf):
-    return reports.coverage_summary(reports.coverage(_days(spark, sf), _stats(spark, sf)))
+    return reports.coverage_summary(Day(spark, sf).coverage)
 
 
 @query
 def run_summary(spark, sf):
-    return reports.run_summary(reports.coverage(_days(spark, sf), _stats(spark, sf)), _loaded(spark, sf))
+    day = Day(spark, sf)
+    return reports.run_summary(day.coverage, day.loaded)
 
 
 @query
 def candle_count(spark, sf):
-    return reports.candle_count(_loaded(spark, sf))
+    return reports.candle_count(Day(spark, sf).loaded)
 
 
 @query
 def day_status_summary(spark, sf):
-    return status.day_status_summary(_status(spark, sf))
+    return status.day_status_summary(Day(spark, sf).status)
 
 
 @query
 def absent_days(spark, sf):
-    """Expected days against files of every second day and ticks of the dated ones."""
-    stats = _stats(spark, sf)
-    came = stats.filter(F.day("trade_date") % 2 == 0)
-    archived = stats.filter(F.day("trade_date") % 3 == 0)
-    return status.absent_day_status(_days(spark, sf), came, archived, _stamp(FIRST_RUN))
+    """Expected days against files of every second day and ticks of every third."""
+    day = Day(spark, sf)
+    came = day.stats.filter(F.day("trade_date") % 2 == 0)
+    archived = day.stats.filter(F.day("trade_date") % 3 == 0)
+    return status.absent_day_status(day.expected, came, archived, _stamp(FIRST_RUN))
 
 
 # Stores ---------------------------------------------------------------------
 
 
 def _bars_with_flag(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.flag_candle_spikes(feed.candle_feed(spark, sf), SETTINGS)
+    return saved(quality.flag_candle_spikes(feed.candle_feed(spark, sf), SETTINGS), "bars")
 
 
 @query
@@ -540,14 +554,14 @@ def upsert_partial(spark, sf):
 @query
 def candle_csv_roundtrip(spark, sf):
     store = _store(spark, "csv")
-    store.write_candle_csvs(_loaded(spark, sf))
+    store.write_candle_csvs(Day(spark, sf).loaded)
     return store.read_candle_csvs()
 
 
 @query
 def coverage_csv(spark, sf):
     store = _store(spark, "coverage")
-    store.write_coverage(reports.coverage(_days(spark, sf), _stats(spark, sf)))
+    store.write_coverage(Day(spark, sf).coverage)
     return store.read_coverage()
 
 

@@ -9,6 +9,7 @@ from typing import Any
 
 TIMESTAMP_FORMATS = ("auto", "epoch_s", "epoch_ms", "iso", "naive_local", "naive_utc")
 SOURCE_FORMATS = ("sqlite", "csv")
+FILE_LAYOUTS = ("one_per_day", "single_file", "one_per_symbol")
 
 # Exchange closures known for October 2025 to July 2026.
 DEFAULT_HOLIDAYS = (
@@ -98,6 +99,8 @@ class Settings:
     columns: SourceColumns = field(default_factory=SourceColumns)
     timestamp_format: str = "naive_utc"
     source_format: str = "sqlite"
+    # Other layouts than one file per day are gathered by day before archiving.
+    file_layout: str = "one_per_day"
     sqlite_table: str = "intraday_data"
     file_glob: str | None = None
 
@@ -106,6 +109,8 @@ class Settings:
             raise ValueError(f"timestamp_format must be one of {TIMESTAMP_FORMATS}, got {self.timestamp_format!r}")
         if self.source_format not in SOURCE_FORMATS:
             raise ValueError(f"source_format must be one of {SOURCE_FORMATS}, got {self.source_format!r}")
+        if self.file_layout not in FILE_LAYOUTS:
+            raise ValueError(f"file_layout must be one of {FILE_LAYOUTS}, got {self.file_layout!r}")
 
     @property
     def glob(self) -> str:
@@ -139,5 +144,6 @@ class Settings:
             columns=SourceColumns(**{k: v for k, v in names.items() if k in SourceColumns.__dataclass_fields__}),
             timestamp_format=cfg.get("timestamp_format", "auto"),
             source_format=cfg.get("source_format", "sqlite"),
+            file_layout=cfg.get("file_layout", "one_per_day"),
             **extra,
         )

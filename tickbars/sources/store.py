@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +34,6 @@ class Table:
 ARCHIVE = Table("archive", schemas.TICKS, ("trade_date", "source_file"))
 REJECTS = Table("rejects", schemas.REJECTS, ("reject_date", "source_file"))
 CLEAN_STATS = Table("clean_stats", schemas.CLEAN_STATS)
-CHECKED = Table("checked_candles", schemas.CHECKED_CANDLES)
 CANDLES = Table("candles_1m", schemas.CANDLES, key=schemas.CANDLE_KEY)
 DAY_STATUS = Table("day_status", schemas.DAY_STATUS, key=schemas.STATUS_KEY)
 VALIDATION = Table("validation_report", schemas.DAY_STATS)
@@ -81,13 +80,21 @@ class Store:
             .parquet(self.path(table))
         )
 
-    def archive(self, ticks: DataFrame) -> None:
-        """Raw ticks by day and file. No shuffle: a file holds few days."""
-        self.overwrite_partitions(ARCHIVE, ticks, cluster=False)
+    def archive(self, ticks: DataFrame, cluster: bool = False) -> None:
+        """Raw ticks by day and file.
 
-    def replace_days(self, table: Table, rows: DataFrame, dates: DataFrame) -> None:
-        """Make ``rows`` the whole content of ``dates``; days without rows disappear."""
-        with self.staged(rows, table.schema) as new:
+        Files of one day each need no shuffle. Others do (``cluster``), or
+        every task would write a small file for every day.
+        """
+        self.overwrite_partitions(ARCHIVE, ticks, cluster)
+
+    def replace_days(self, table: Table, rows: DataFrame, dates: DataFrame, stage: bool = True) -> None:
+        """Make ``rows`` the whole content of ``dates``; days without rows disappear.
+
+        ``rows`` are read twice. ``stage`` stores them first; leave it out for
+        rows that come straight from a stored table.
+        """
+        with self.staged(rows, table.schema) if stage else nullcontext(rows) as new:
             self.overwrite_partitions(table, new)
             day = table.partition[0]
             filled = new.select(F.col(day).alias("trade_date")).distinct()

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickbars.operators import status, ticks
-from tickbars.plans.jobs import archived_dates, process_days, run_timestamp
+from tickbars.plans.jobs import archive, archived_dates, process_days, run_timestamp
 from tickbars.schemas import DATES
 from tickbars.settings import Settings
 from tickbars.sources import store as tables
@@ -72,7 +72,7 @@ def incremental_update(
         session = batch.sparkSession
         new = ticks.normalise_ticks(_raw_ticks(session, batch, settings), settings)
         with store.staged(ticks.ticks_for_dates(new).select("trade_date").distinct(), DATES) as touched:
-            store.archive(new)
+            archive(store, new, settings)
             in_range = archived_dates(store)
             done = store.read(tables.VALIDATION).select("trade_date")
             # A later file can widen the range, so days not done yet count too.
