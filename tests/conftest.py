@@ -17,7 +17,8 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tickbars-tests")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.default.parallelism", "2")
         .config("spark.sql.session.timeZone", "America/New_York")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")

@@ -25,6 +25,7 @@ def minutes(date_text, count, symbol="S", price=10):
 
 def run(spark, landing, root, **kwargs):
     store = Store(spark, str(root))
+    kwargs.setdefault("csv", False)
     return store, backfill(spark, str(landing), store, SETTINGS, built_at=BUILT, **kwargs)
 
 
@@ -47,7 +48,7 @@ def test_backfill_classifies_and_loads(spark, landing, tmp_path):
     write_csv(landing / "t_20260616.csv", minutes("2026-06-16", 1))
     write_csv(landing / "t_20260617.csv", ["S,2026-06-17 01:00:00,10,1", "S,bad,1,1"] + minutes("2022-01-03", 9))
     write_csv(landing / "t_20260618.csv", minutes("2026-06-18", 4) + minutes("2026-06-15", 5))
-    store, summary = run(spark, landing, tmp_path / "store", closed=calendar.holidays(spark, []))
+    store, summary = run(spark, landing, tmp_path / "store", closed=calendar.holidays(spark, []), csv=True)
     assert rows(store.read(tables.DAY_STATUS), "symbol", "trade_date", "status", "reason", "minutes_count", "built_at") == [
         ("*", day("2026-06-16"), "MISSING", "insufficient_minutes (1 < 3)", 0, BUILT),
         ("*", day("2026-06-17"), "MISSING", "corrupt", 0, BUILT),
@@ -135,7 +136,7 @@ def test_updates_in_small_steps_equal_one_backfill(spark, landing, tmp_path):
     whole, _ = run(spark, landing, tmp_path / "whole")
     steps = Store(spark, str(tmp_path / "steps"))
     incremental_update(
-        spark, str(landing), steps, str(tmp_path / "progress"), SETTINGS, built_at=BUILT, files_per_batch=1
+        spark, str(landing), steps, str(tmp_path / "progress"), SETTINGS, built_at=BUILT, files_per_batch=1, csv=False
     )
     assert snapshot(steps) == snapshot(whole)
 
@@ -144,9 +145,9 @@ def test_update_takes_only_new_files(spark, landing, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     arguments = (spark, str(landing), store, str(tmp_path / "progress"), SETTINGS)
     write_csv(landing / "t_20260615.csv", minutes("2026-06-15", 5))
-    incremental_update(*arguments, built_at=BUILT)
+    incremental_update(*arguments, csv=False, built_at=BUILT)
     write_csv(landing / "t_20260616.csv", minutes("2026-06-16", 5))
-    incremental_update(*arguments, built_at=BUILT + timedelta(days=1))
+    incremental_update(*arguments, csv=False, built_at=BUILT + timedelta(days=1))
     assert rows(store.read(tables.DAY_STATUS), "trade_date", "built_at") == [
         (day("2026-06-15"), BUILT), (day("2026-06-16"), BUILT + timedelta(days=1))
     ]
@@ -157,10 +158,10 @@ def test_update_reads_sqlite_files(spark, landing, tmp_path):
     data = [tuple(line.split(",")) for line in minutes("2026-06-15", 5)]
     write_db(landing / "t_20260615.db", data)
     store = Store(spark, str(tmp_path / "store"))
-    incremental_update(spark, str(landing), store, str(tmp_path / "progress"), settings, built_at=BUILT)
+    incremental_update(spark, str(landing), store, str(tmp_path / "progress"), settings, built_at=BUILT, csv=False)
     assert store.read(tables.CANDLES).count() == 5
     whole = Store(spark, str(tmp_path / "whole"))
-    backfill(spark, str(landing), whole, settings, built_at=BUILT)
+    backfill(spark, str(landing), whole, settings, built_at=BUILT, csv=False)
     assert snapshot(whole) == snapshot(store)
 
 

@@ -75,7 +75,8 @@ def ticks_for_dates(ticks: DataFrame, dates: Sequence[date] | None = None) -> Da
 
 def file_date_range(files: DataFrame) -> DataFrame:
     """One row with the earliest and the latest date found in ``source_file``."""
-    return files.select(file_date(F.col("source_file")).alias("d")).agg(
+    names = files.select("source_file").distinct()
+    return names.select(file_date(F.col("source_file")).alias("d")).agg(
         F.min("d").alias("first_date"), F.max("d").alias("last_date")
     )
 

@@ -41,14 +41,21 @@ def ingest(spark: SparkSession, path: str | list[str], store: Store, settings: S
     archive(store, ticks.normalise_ticks(read_raw_ticks(spark, path, settings), settings), settings)
 
 
-def archive(store: Store, normalised: DataFrame, settings: Settings) -> None:
+def archive(store: Store, normalised: DataFrame, settings: Settings, files: DataFrame | None = None) -> None:
+    """Write ticks to the archive and list which days each file brought.
+
+    The list comes from the partitions just written, all or those of
+    ``files``; later steps ask this small table instead of the archive.
+    """
     store.archive(normalised, cluster=settings.file_layout != "one_per_day")
+    brought = store.read(tables.ARCHIVE, files).groupBy("source_file", "trade_date").agg(F.count("*").alias("n_ticks"))
+    store.overwrite_partitions(tables.INGESTED, brought)
 
 
 def archived_dates(store: Store) -> DataFrame:
     """Days in the archive that lie in the range of its file dates."""
-    archive = store.read(tables.ARCHIVE)
-    return ticks.within_file_dates(ticks.ticks_for_dates(archive), archive).select("trade_date").distinct()
+    brought = store.read(tables.INGESTED)
+    return ticks.within_file_dates(ticks.ticks_for_dates(brought), brought).select("trade_date").distinct()
 
 
 def process_days(

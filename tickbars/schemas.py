@@ -75,6 +75,10 @@ QUARANTINE = _schema(
 
 DATES = _schema("trade_date DATE")
 
+FILES = _schema("source_file STRING")
+
+INGESTED = _schema("source_file STRING, trade_date DATE, n_ticks BIGINT")
+
 COPY_CANDLES = _schema(
     "trade_date DATE, source_file STRING, symbol STRING, ts TIMESTAMP_NTZ, "
     "open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume BIGINT"

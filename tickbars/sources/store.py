@@ -32,6 +32,7 @@ class Table:
 
 
 ARCHIVE = Table("archive", schemas.TICKS, ("trade_date", "source_file"))
+INGESTED = Table("ingested", schemas.INGESTED, ("source_file",))
 REJECTS = Table("rejects", schemas.REJECTS, ("reject_date", "source_file"))
 CLEAN_STATS = Table("clean_stats", schemas.CLEAN_STATS)
 CANDLES = Table("candles_1m", schemas.CANDLES, key=schemas.CANDLE_KEY)
@@ -41,6 +42,12 @@ QUARANTINE = Table("quarantine", schemas.QUARANTINE, ("quarantine_date",))
 DEDUP_LOG = Table("dedup_log", schemas.DEDUP_LOG)
 
 
+def _always(column: str, schema: T.StructType) -> Column:
+    """A comparison that holds for every value that is not null."""
+    lowest = F.lit("0000-01-01").cast("date") if schema[column].dataType == T.DateType() else F.lit("")
+    return F.col(column) >= lowest
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
@@ -52,16 +59,23 @@ class Store:
     def exists(self, table: Table) -> bool:
         return path_exists(self.spark, self.path(table))
 
-    def read(self, table: Table, dates: DataFrame | None = None) -> DataFrame:
-        """The table, or its rows for ``dates``, of which only those partitions are read."""
+    def read(self, table: Table, only: DataFrame | None = None) -> DataFrame:
+        """The table, or its rows for the values in ``only``.
+
+        ``only`` holds trade dates, or values of another partition column;
+        just those partitions are read.
+        """
         if not self.exists(table):
             return self.spark.createDataFrame([], table.schema)
         rows = self.spark.read.schema(table.schema).parquet(self.path(table)).select(table.schema.fieldNames())
-        if dates is None:
+        if only is None:
             return rows
-        day = table.partition[0]
-        wanted = dates.select(F.col("trade_date").alias(day)).distinct()
-        return rows.join(F.broadcast(wanted), day, "left_semi")  # calendar-sized
+        column = next((c for c in table.partition if c in only.columns), None)
+        wanted = only if column else only.withColumnRenamed("trade_date", table.partition[0])
+        column = column or table.partition[0]
+        # Spark prunes partitions by a join only if the other side has a filter.
+        listed = wanted.select(column).distinct().filter(_always(column, table.schema))
+        return rows.join(F.broadcast(listed), column, "left_semi")  # dates or file names
 
     def overwrite_partitions(self, table: Table, rows: DataFrame, cluster: bool = True) -> None:
         """Replace the partitions ``rows`` has data for.

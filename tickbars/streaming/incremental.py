@@ -14,13 +14,16 @@ from pyspark.sql import functions as F
 
 from tickbars.operators import status, ticks
 from tickbars.plans.jobs import archive, archived_dates, process_days, run_timestamp
-from tickbars.schemas import DATES
+from tickbars.schemas import FILES
 from tickbars.settings import Settings
 from tickbars.sources import store as tables
 from tickbars.sources.files import csv_schema, landed_files, map_columns, read_sqlite_ticks
 from tickbars.sources.paths import make_dir
 from tickbars.sources.store import Store
 
+# Columns of Spark's binary file source.
+BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
 
 def _landing_stream(
     spark: SparkSession, landing: str, settings: Settings, columns: tuple[str, ...] | None, files_per_batch: int | None
@@ -30,7 +33,7 @@ def _landing_stream(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if settings.source_format == "sqlite":
         # Only the paths are used; the file content is never loaded here.
-        return reader.format("binaryFile").load(landing).select("path")
+        return reader.format("binaryFile").schema(BINARY_FILE).load(landing).select("path")
     schema = csv_schema(settings) if columns is None else ", ".join(f"`{c}` STRING" for c in columns)
     return (
         reader.schema(schema)
@@ -69,10 +72,10 @@ def incremental_update(
     make_dir(spark, landing)
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        new = ticks.normalise_ticks(_raw_ticks(session, batch, settings), settings)
-        with store.staged(ticks.ticks_for_dates(new).select("trade_date").distinct(), DATES) as touched:
-            archive(store, new, settings)
+        raw = _raw_ticks(batch.sparkSession, batch, settings)
+        with store.staged(raw.select("source_file").distinct(), FILES) as files:
+            archive(store, ticks.normalise_ticks(raw, settings), settings, files)
+            touched = store.read(tables.INGESTED, files)
             in_range = archived_dates(store)
             done = store.read(tables.VALIDATION).select("trade_date")
             # A later file can widen the range, so days not done yet count too.
@@ -99,7 +102,7 @@ def record_absent_days(
     built_at: datetime | None = None,
 ) -> None:
     """Write MISSING rows for expected days that brought no file or no ticks."""
-    archived = store.read(tables.ARCHIVE).select("trade_date").distinct()
+    archived = store.read(tables.INGESTED)
     rows = status.absent_day_status(
         expected, landed_files(spark, landing, settings), archived, run_timestamp(built_at)
     )
