@@ -162,6 +162,8 @@ def flag_spikes(trades: DataFrame, settings: Settings) -> DataFrame:
     """
     slice_key = ["symbol", "slice"]
     sliced = trades.select(*TRADE, _slice(F.col("ts_utc"), settings).alias("slice"))
+    # The join below would filter one branch only, and the shuffles would differ.
+    sliced = sliced.filter(F.col("symbol").isNotNull() & F.col("slice").isNotNull())
     within = _with_neighbours(sliced, *slice_key)
     across = W.partitionBy(*SYMBOL_DAY).orderBy("slice")
     carried = within.filter(F.col("after").isNull()).select(
