@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from conftest import at, day, make_candles, make_ticks, rows
 from test_ticks import random_trades
-from tickbars import Settings
-from tickbars.operators import bars, quality, shaping, status, ticks
-from tickbars.schemas import DAY_STATUS, TICKS
+from tickbars import Limits, Settings
+from tickbars.operators import bars, shaping, ticks
+from tickbars.schemas import TICKS
 
 SETTINGS = Settings()
 
@@ -55,6 +55,17 @@ def test_bars_do_not_depend_on_row_order_or_partitions(spark):
     assert rows(bars.candles_1m(trades(spark, data).repartition(7), SETTINGS), *columns) == expected
 
 
+@pytest.mark.parametrize("slice_seconds", [1, 30, 60])
+def test_bars_from_slices_equal_bars_from_trades(spark, slice_seconds):
+    data = [(s, t.isoformat(), p, v) for s, t, p, v in random_trades(4, 2000)]
+    frame = make_ticks(spark, data + data[:100] + [("A", "2026-06-18T05:00:00", -1, 1), (None, None, None, None)])
+    settings = replace(SETTINGS, limits=Limits(slice_seconds=slice_seconds))
+    sliced = bars.candles_from_slices(ticks.trade_slices(frame, settings), settings)
+    direct = bars.candles_1m(ticks.session_trades(frame, settings), settings)
+    assert sliced.columns == direct.columns
+    assert rows(sliced, *direct.columns) == rows(direct, *direct.columns)
+
+
 def test_bar_invariants(spark):
     data = [(s, t.isoformat(), p, v) for s, t, p, v in random_trades(5, 2000)]
     frame = trades(spark, data)

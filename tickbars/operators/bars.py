@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickbars.functions.timestamps import floor_minutes, to_local, to_utc
+from tickbars.operators.ticks import KEPT
 from tickbars.settings import Settings
 
 OHLCV = ("open", "high", "low", "close", "volume")
@@ -29,7 +30,17 @@ def ohlcv_from_ticks(trades: DataFrame, *key: str) -> DataFrame:
 def candles_1m(trades: DataFrame, settings: Settings) -> DataFrame:
     """Sparse one-minute bars of all symbols and days; no trade, no row."""
     minutes = trades.withColumn("ts", floor_minutes(F.col("ts_utc")))
-    return ohlcv_from_ticks(minutes, "symbol", "trade_date", "ts").select(
+    return _as_candles(ohlcv_from_ticks(minutes, "symbol", "trade_date", "ts"), settings)
+
+
+def candles_from_slices(slices: DataFrame, settings: Settings) -> DataFrame:
+    """The same bars as ``candles_1m``, from the kept ``trade_slices``."""
+    minutes = slices.filter(F.col("fate") == KEPT).withColumn("ts", floor_minutes(F.col("first_ts")))
+    return _as_candles(minutes.groupBy("symbol", "trade_date", "ts").agg(*_rolled("slice")), settings)
+
+
+def _as_candles(bars: DataFrame, settings: Settings) -> DataFrame:
+    return bars.select(
         "symbol",
         "trade_date",
         "ts",
@@ -46,21 +57,21 @@ def rollup(candles: DataFrame, minutes: int, settings: Settings) -> DataFrame:
     buckets = candles.withColumn("bucket", floor_minutes(F.col("minute_local"), minutes))
     return (
         buckets.groupBy("symbol", "trade_date", "bucket")
-        .agg(*_rolled())
+        .agg(*_rolled("ts"))
         .select("symbol", "trade_date", to_utc(F.col("bucket"), settings.timezone).alias("ts"), *OHLCV)
     )
 
 
 def daily_bars(candles: DataFrame) -> DataFrame:
     """One bar per symbol and day. Gate the candles by day status first."""
-    return candles.groupBy("symbol", "trade_date").agg(*_rolled(), F.count("*").alias("minutes_count"))
+    return candles.groupBy("symbol", "trade_date").agg(*_rolled("ts"), F.count("*").alias("minutes_count"))
 
 
-def _rolled() -> list:
+def _rolled(order: str) -> list[Column]:
     return [
-        F.min_by("open", "ts").alias("open"),
+        F.min_by("open", order).alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
-        F.max_by("close", "ts").alias("close"),
+        F.max_by("close", order).alias("close"),
         F.sum("volume").alias("volume"),
     ]

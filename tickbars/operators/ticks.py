@@ -188,7 +188,7 @@ def clean_ticks(
     return flagged.withColumn("ts_local", to_local(F.col("ts_utc"), settings.timezone))
 
 
-# What became of a tick, as ``clean_stats`` marks it.
+# What became of a tick, as ``trade_slices`` marks it.
 KEPT, OFF_SESSION, UNUSABLE, UNREADABLE = range(4)
 
 
@@ -202,12 +202,14 @@ def _fate(settings: Settings) -> Column:
     )
 
 
-def clean_stats(ticks: DataFrame, settings: Settings) -> DataFrame:
-    """Cleaning counters of every day in one pass over the ticks.
+def trade_slices(ticks: DataFrame, settings: Settings) -> DataFrame:
+    """Time slices of the ticks with their counters and prices, from one pass.
 
-    Rows are marked instead of dropped. Equal trades are counted before the
-    shuffle, and unusable rows carry no key, so each day has only a few
-    groups of them. A row without a timestamp counts for the date of its file.
+    Both the cleaning counters and the bars can be had from this table, so a
+    run shuffles the ticks themselves only once. Rows are marked instead of
+    dropped. Equal trades are counted before the shuffle, and unusable rows
+    carry no key, so each day has only a few groups of them. A row without a
+    timestamp counts for the date of its file.
     """
     usable = F.col("fate") <= OFF_SESSION
     trade = ("symbol", "ts_utc", "price", "volume")
@@ -223,38 +225,50 @@ def clean_stats(ticks: DataFrame, settings: Settings) -> DataFrame:
         # Unusable rows form one slice per day and kind.
         .withColumn("slice", F.coalesce(_slice(F.col("ts_utc"), settings), -F.unix_date("day").cast("bigint")))
     )
-    pct = settings.limits.spike_pct
     price, before, after = F.col("price"), F.col("before"), F.col("after")
-    slices = (
+    return (
         _with_neighbours(counted, "fate", "symbol", "slice")
         .groupBy("fate", "symbol", "slice")
         .agg(
-            F.min("day").alias("day"),
-            F.sum("n").alias("n"),
-            F.count("*").alias("trades"),
-            F.count_if(_moved(price, before, pct)).alias("spikes"),
-            F.max(F.when(before.isNull(), price)).alias("first_price"),
-            F.max(F.when(after.isNull(), price)).alias("last_price"),
+            F.min("day").alias("trade_date"),
+            F.min("ts_utc").alias("first_ts"),
+            F.sum("n").alias("n_ticks"),
+            F.count("*").alias("n_trades"),
+            F.count_if(_moved(price, before, settings.limits.spike_pct)).alias("n_spikes"),
+            F.max(F.when(before.isNull(), price)).alias("open"),
+            F.max("price").alias("high"),
+            F.min("price").alias("low"),
+            F.max(F.when(after.isNull(), price)).alias("close"),
+            F.sum("volume").alias("volume"),
         )
     )
-    across = W.partitionBy("fate", "symbol", "day").orderBy("slice")
-    edge = _moved(F.col("first_price"), F.lag("last_price").over(across), pct).cast("int")
-    fate, n, trades = F.col("fate"), F.col("n"), F.col("trades")
+
+
+def slice_stats(slices: DataFrame, settings: Settings) -> DataFrame:
+    """Cleaning counters of every day, from ``trade_slices``."""
+    across = W.partitionBy("fate", "symbol", "trade_date").orderBy("slice")
+    edge = _moved(F.col("open"), F.lag("close").over(across), settings.limits.spike_pct).cast("int")
+    fate, n, trades = F.col("fate"), F.col("n_ticks"), F.col("n_trades")
 
     def total(value: Column, condition: Column | None = None) -> Column:
         chosen = value if condition is None else F.when(condition, value)
         return F.coalesce(F.sum(chosen), F.lit(0)).cast("bigint")
 
     return (
-        slices.withColumn("spikes", F.col("spikes") + edge)
-        .groupBy(F.col("day").alias("trade_date"))
+        slices.withColumn("n_spikes", F.col("n_spikes") + edge)
+        .groupBy("trade_date")
         .agg(
             total(n).alias("input_rows"),
             total(n, fate == UNREADABLE).alias("coercion_failures"),
             total(n, fate >= UNUSABLE).alias("invalid_dropped"),
             total(n - trades, fate <= OFF_SESSION).alias("duplicates_dropped"),
             total(trades, fate == OFF_SESSION).alias("out_of_session_dropped"),
-            total(F.col("spikes"), fate == KEPT).alias("spikes_flagged"),
+            total(F.col("n_spikes"), fate == KEPT).alias("spikes_flagged"),
             total(trades, fate == KEPT).alias("output_rows"),
         )
     )
+
+
+def clean_stats(ticks: DataFrame, settings: Settings) -> DataFrame:
+    """Cleaning counters of every day in one pass over the ticks."""
+    return slice_stats(trade_slices(ticks, settings), settings)

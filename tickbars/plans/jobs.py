@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tickbars.functions.fields import file_date
 from tickbars.operators import bars, calendar, quality, replication, reports, status, ticks
-from tickbars.schemas import CHECKED_CANDLES, COPY_CANDLES, DATES
+from tickbars.schemas import CHECKED_CANDLES, COPY_CANDLES, DATES, TRADE_SLICES
 from tickbars.settings import Settings
 from tickbars.sources import store as tables
 from tickbars.sources.files import read_raw_ticks
@@ -73,24 +73,28 @@ def process_days(
     now = run_timestamp(built_at)
     with store.staged(dates.select("trade_date").distinct(), DATES) as days:
         feed = store.read(tables.ARCHIVE, days)
+        undated = _undated_ticks(store)
+        _write_rejects(store, feed.unionByName(undated))
         contradicted = None
-        _write_tick_reports(store, settings, feed, days)
         if replication_mode == "audit":
             with store.staged(replication.copy_candles(feed), COPY_CANDLES) as copies:
                 store.replace_days(tables.DEDUP_LOG, replication.replication_audit(copies), days)
             verdicts = store.read(tables.DEDUP_LOG, days)
             contradicted = replication.conflict_dates(verdicts)
             feed = replication.collapse_copies(feed, verdicts)
-        candles = bars.candles_1m(ticks.session_trades(feed, settings), settings)
-        with store.staged(quality.validate_candles(candles, settings), CHECKED_CANDLES) as checked:
-            stats = status.classify_days(days, quality.day_stats(checked, settings), contradicted)
-            store.replace_days(tables.VALIDATION, stats, days)
-            stats = store.read(tables.VALIDATION, days)
-            store.replace_days(tables.QUARANTINE, quality.quarantined_candles(checked), days, stage=False)
-            loadable = status.loadable_candles(quality.valid_candles(checked), stats)
-            _write_candles(store, write_mode, loadable, stats, days, now)
-            if csv:
-                store.write_candle_csvs(loadable)
+        counted = feed.unionByName(_of_file_dates(undated, days))
+        with store.staged(ticks.trade_slices(counted, settings), TRADE_SLICES) as slices:
+            store.replace_days(tables.CLEAN_STATS, ticks.slice_stats(slices, settings), days)
+            candles = quality.validate_candles(bars.candles_from_slices(slices, settings), settings)
+            with store.staged(candles, CHECKED_CANDLES) as checked:
+                stats = status.classify_days(days, quality.day_stats(checked, settings), contradicted)
+                store.replace_days(tables.VALIDATION, stats, days)
+                stats = store.read(tables.VALIDATION, days)
+                store.replace_days(tables.QUARANTINE, quality.quarantined_candles(checked), days, stage=False)
+                loadable = status.loadable_candles(quality.valid_candles(checked), stats)
+                _write_candles(store, write_mode, loadable, stats, days, now)
+                if csv:
+                    store.write_candle_csvs(loadable)
 
 
 def _write_candles(
@@ -110,21 +114,21 @@ def _write_candles(
     )
 
 
-def _write_tick_reports(store: Store, settings: Settings, feed: DataFrame, days: DataFrame) -> None:
-    """Counters and rejects; ticks without a time count for the date of their file."""
-    undated = (
-        store.read(tables.ARCHIVE)
-        .filter(F.col("trade_date").isNull())
-        .withColumn("_day", file_date(F.col("source_file")))
-    )
-    of_files = undated.join(
-        F.broadcast(days.select(F.col("trade_date").alias("_day"))), "_day", "left_semi"  # calendar-sized
-    )
-    counted = feed.unionByName(of_files.select(*feed.columns))
-    store.replace_days(tables.CLEAN_STATS, ticks.clean_stats(counted, settings), days)
-    rejects = ticks.rejected_ticks(feed.unionByName(undated.select(*feed.columns)))
-    dated = rejects.withColumn("reject_date", F.coalesce("trade_date", file_date(F.col("source_file"))))
-    store.overwrite_partitions(tables.REJECTS, dated)
+def _undated_ticks(store: Store) -> DataFrame:
+    """Archived ticks without a time."""
+    return store.read(tables.ARCHIVE).filter(F.col("trade_date").isNull())
+
+
+def _of_file_dates(undated: DataFrame, days: DataFrame) -> DataFrame:
+    """Those whose file carries one of the dates; they count for it."""
+    dated = undated.withColumn("_day", file_date(F.col("source_file")))
+    wanted = F.broadcast(days.select(F.col("trade_date").alias("_day")))  # calendar-sized
+    return dated.join(wanted, "_day", "left_semi").drop("_day")
+
+
+def _write_rejects(store: Store, feed: DataFrame) -> None:
+    day = F.coalesce("trade_date", file_date(F.col("source_file")))
+    store.overwrite_partitions(tables.REJECTS, ticks.rejected_ticks(feed).withColumn("reject_date", day))
 
 
 def coverage_report(

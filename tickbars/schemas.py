@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 _TYPES = {
     "STRING": T.StringType(),
     "DOUBLE": T.DoubleType(),
+    "INT": T.IntegerType(),
     "BIGINT": T.LongType(),
     "BOOLEAN": T.BooleanType(),
     "DATE": T.DateType(),
@@ -79,6 +80,11 @@ FILES = _schema("source_file STRING")
 
 INGESTED = _schema("source_file STRING, trade_date DATE, n_ticks BIGINT")
 
+TRADE_SLICES = _schema(
+    "fate INT, symbol STRING, slice BIGINT, trade_date DATE, first_ts TIMESTAMP_NTZ, n_ticks BIGINT, "
+    "n_trades BIGINT, n_spikes BIGINT, open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume BIGINT"
+)
+
 COPY_CANDLES = _schema(
     "trade_date DATE, source_file STRING, symbol STRING, ts TIMESTAMP_NTZ, "
     "open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume BIGINT"
