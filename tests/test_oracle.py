@@ -22,6 +22,8 @@ def test_every_query_has_sql():
 def test_query_matches_sql(spark, database, name):
     frame = entry_point.queries()[name](spark, SF_DIR)
     assert difference(frame, database, entry_point.oracle_sql()[name]) is None
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_entry_gives_bars(spark):

@@ -58,15 +58,20 @@ class Day:
     def checked(self) -> DataFrame:
         return saved(quality.validate_candles(feed.candle_feed(self.spark, self.sf), SETTINGS), "checked")
 
+    @property
+    def bar_stats(self) -> DataFrame:
+        """Statistics of the days with candles; enough to know the COMPLETE ones."""
+        return quality.day_stats(self.checked, SETTINGS)
+
     @cached_property
     def stats(self) -> DataFrame:
         """Statistics of every day with ticks, also of days that gave no candle."""
         fed = ticks.ticks_for_dates(feed.tick_feed(self.spark, self.sf))
-        return saved(status.classify_days(fed, quality.day_stats(self.checked, SETTINGS)), "stats")
+        return saved(status.classify_days(fed, self.bar_stats), "stats")
 
     @property
     def loaded(self) -> DataFrame:
-        return status.loadable_candles(quality.valid_candles(self.checked), self.stats)
+        return status.loadable_candles(quality.valid_candles(self.checked), self.bar_stats)
 
     @property
     def status(self) -> DataFrame:
@@ -353,7 +358,7 @@ def flat_fill(spark, sf):
 @query
 def carry_close(spark, sf):
     day = Day(spark, sf)
-    return shaping.carry_close(bars.daily_bars(day.loaded), day.expected, day.stats)
+    return shaping.carry_close(bars.daily_bars(day.loaded), day.expected, day.bar_stats)
 
 
 # Validation -----------------------------------------------------------------
@@ -461,7 +466,7 @@ def classified_days(spark, sf):
     conflicts = replication.conflict_dates(replication.replication_audit(_copies(spark, sf)))
     day = Day(spark, sf)
     fed = ticks.ticks_for_dates(feed.tick_feed(spark, sf))
-    return status.classify_days(fed, quality.day_stats(day.checked, SETTINGS), conflicts)
+    return status.classify_days(fed, day.bar_stats, conflicts)
 
 
 @query
