@@ -153,6 +153,18 @@ def test_update_takes_only_new_files(spark, landing, tmp_path):
     ]
 
 
+def test_files_without_ticks_change_nothing(spark, landing, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    arguments = (spark, str(landing), store, str(tmp_path / "progress"), SETTINGS)
+    incremental_update(*arguments, csv=False, built_at=BUILT)  # an empty folder
+    write_csv(landing / "t_20260614.csv", [])
+    incremental_update(*arguments, csv=False, built_at=BUILT)
+    assert store.read(tables.DAY_STATUS).count() == 0
+    write_csv(landing / "t_20260615.csv", minutes("2026-06-15", 5))
+    incremental_update(*arguments, csv=False, built_at=BUILT)
+    assert store.read(tables.CANDLES).count() == 5
+
+
 def test_update_reads_sqlite_files(spark, landing, tmp_path):
     settings = replace(SETTINGS, source_format="sqlite")
     data = [tuple(line.split(",")) for line in minutes("2026-06-15", 5)]
