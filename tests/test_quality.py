@@ -1,5 +1,3 @@
-from dataclasses import replace
-
 import pytest
 from pyspark.sql import functions as F
 

@@ -24,7 +24,10 @@ from tickbars.schemas import TICKS, conform
 from tickbars.settings import DatedHours, Hours, Limits, SessionRules, Settings
 
 SETTINGS = Settings(
-    timestamp_format="iso", source_format="csv", file_layout="single_file", limits=Limits(min_session_minutes=80, min_symbol_minutes=20)
+    timestamp_format="iso",
+    source_format="csv",
+    file_layout="single_file",
+    limits=Limits(min_session_minutes=80, min_symbol_minutes=20),
 )
 
 # The regular rules plus dated hours from Tuesday to Friday.
@@ -51,12 +54,13 @@ def tick_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     stamped = with_local_time(events(spark, sf_dir).withColumn("ts_utc", F.col("ts")), SETTINGS)
     day = F.day("trade_date")
+    files = F.when(F.col("twice"), F.array(F.lit("A"), F.lit("B"))).otherwise(F.array(F.lit("A")))
     copied = stamped.select(
         "event_id", "event_type", "ts_utc", "ts_local", "trade_date", "value",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
         ((day % 5 == 0) | (day % 7 == 0)).alias("twice"),
         (day % 7 == 0).alias("altered"),
-    ).withColumn("source_file", F.explode(F.when(F.col("twice"), F.array(F.lit("A"), F.lit("B"))).otherwise(F.array(F.lit("A")))))
+    ).withColumn("source_file", F.explode(files))
     n, price, second = F.col("event_id"), F.col("value"), F.col("source_file") == "B"
 
     def dirt(every: int) -> Column:

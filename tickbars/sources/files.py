@@ -73,7 +73,9 @@ def _sqlite(spark: SparkSession, path: str | list[str], settings: Settings) -> D
         .option("price", names.price)
         .option("volume", names.volume)
     )
-    return reader.option("files" if isinstance(path, list) else "path", "\n".join(path) if isinstance(path, list) else path).load()
+    if isinstance(path, list):
+        return reader.option("files", "\n".join(path)).load()
+    return reader.option("path", path).load()
 
 
 def read_raw_ticks(spark: SparkSession, path: str | list[str], settings: Settings) -> DataFrame:
