@@ -81,10 +81,10 @@ class Prefix:
     def ranges(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.down[starts])
 
-    def windows(self, width: int) -> np.ndarray:
-        """Hash of every range of ``width`` bytes."""
+    def rolling(self, width: int) -> np.ndarray:
+        """A rolling hash of every range of ``width`` bytes; its upper half is well spread."""
         n = max(0, len(self.sums) - width)
-        return mix((self.sums[width : width + n] - self.sums[:n]) * self.down[:n])
+        return (self.sums[width : width + n] - self.sums[:n]) * self.down[:n] * np.uint64(0xD6E8FEB86659FD93)
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tickbars.llm.bpe import Bpe, decode, encode
 from tickbars.llm.near_dedup import NearDedup, near_components
+from tickbars.llm.repeats import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,3 +28,21 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op1_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_components(_documents(spark, sf), NearDedup(shingle=4))
+
+
+@query
+def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    bpe = Bpe.from_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    coded = decode(encode(_documents(spark, sf).select("doc_id", "text"), bpe), bpe)
+    return coded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op10_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    kept = remove_repeats(_documents(spark, sf))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
