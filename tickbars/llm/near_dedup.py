@@ -8,9 +8,10 @@ values are candidates; pairs whose sketches are too far apart are dropped, the
 rest is confirmed on full sets.
 
 Equal sets form a class before anything is compared. Classes of a bucket are
-compared with one hub, then those still apart with another one, and at last
-all classes of different components in a bucket with each other, so a group of
-copies costs a few pairs per member and no pair of a bucket goes untested.
+compared with one hub, then those still apart with another one, so a group of
+copies costs a few pairs per member. At last all classes of a bucket that are
+still in different components are compared with each other, in large buckets
+block by block inside the tasks, so that no pair of a bucket goes untested.
 A null text counts as empty; a text without words is linked with nothing.
 """
 
@@ -35,7 +36,8 @@ EMPTY = np.iinfo(np.uint32).max
 @dataclass(frozen=True)
 class NearDedup:
     """``percent``: smallest Jaccard similarity. With 32 bands of 4 rows a pair at 0.8 misses all
-    buckets with probability 5e-8. ``deviations``: how far above its mean a pair's sketch distance may lie."""
+    buckets with probability 5e-8. ``deviations``: how far above its mean a pair's sketch distance may lie. At the end, buckets of up to
+    ``small`` members are compared as pairs, larger ones in blocks of ``block`` members."""
 
     shingle: int = 5
     percent: int = 80
@@ -44,13 +46,16 @@ class NearDedup:
     samples: int = 512
     bits: int = 1024
     deviations: float = 6.0
+    small: int = 16
+    block: int = 512
 
     def sketch_limit(self) -> int:
         """Largest XOR count at which a pair of exactly ``percent`` may still be."""
         differing = self.samples * (1 - self.percent / 100)
-        flips = 2 * (differing + self.deviations * math.sqrt(differing * self.percent / 100))
-        mean = self.bits / 2 * (1 - (1 - 2 / self.bits) ** flips)
-        return math.ceil(mean + self.deviations * math.sqrt(mean * (1 - mean / self.bits) / 2))
+        kept = (1 - 2 / self.bits) ** (2 * differing)
+        mean = self.bits / 2 * (1 - kept)
+        sampled = 2 * math.sqrt(differing * self.percent / 100) * kept
+        return math.ceil(mean + self.deviations * math.hypot(sampled, math.sqrt(mean)))
 
     def seeds(self) -> tuple[np.ndarray, np.ndarray]:
         draws = mix(np.arange(1, 2 * self.samples + 1, dtype=np.uint64))
@@ -168,6 +173,127 @@ def _near(pairs: DataFrame, classes: DataFrame, spec: NearDedup) -> DataFrame:
     return both.where(_distance("s", "t", spec.bits // 64) <= spec.sketch_limit()).select("a", "b")
 
 
+def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return members.withColumn("component", F.col("node"))
+    return members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _untried(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
+    """Pairs of ``node`` and ``hub`` as distinct (a, b) with a < b that are not in ``tried``."""
+    pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+
+
+def _groups(batches, key: int):
+    """Tables of consecutive rows that agree in the first ``key`` columns."""
+    held, last = [], None
+    for batch in batches:
+        columns = [batch.column(k).to_numpy() for k in range(key)]
+        new = np.ones(batch.num_rows, bool)
+        new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+        cuts = [*np.flatnonzero(new), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            mine = tuple(c[a] for c in columns)
+            if mine != last and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = mine
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _blocked(large: DataFrame, spec: NearDedup) -> DataFrame:
+    """Members of large buckets dealt to blocks, a row for every pair of blocks it is in."""
+    blocks = F.ceil(F.col("n") / spec.block).cast("int")
+    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+    dealt = large.select("bucket", "node", "component", mine.alias("mine"), other)
+    return dealt.select("bucket", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", "component")
+
+
+def _large_buckets(large: DataFrame, classes: DataFrame, spec: NearDedup) -> tuple[DataFrame, DataFrame]:
+    """Sketches of large buckets compared block by block.
+
+    Gives (node, hub) pairs near enough from blocks with few of them; from the
+    others, members with a near partner, to be compared on full sets in place.
+    """
+    limit = spec.sketch_limit()
+
+    def run(batches):
+        for group in _groups(batches, 3):
+            bucket, low, high = (group.column(k)[0].as_py() for k in range(3))
+            mine, node, component = (group.column(k).to_numpy() for k in (3, 4, 5))
+            sketch = np.array(group.column(6).to_pylist(), np.int64)
+            left, right = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
+            rows = []
+            for k in left:
+                others = right[right > k] if low == high else right
+                others = others[component[others] != component[k]]
+                near = others[np.bitwise_count(sketch[others] ^ sketch[k]).sum(axis=1) <= limit]
+                rows.append(np.stack([np.full(len(near), k), near]))
+            pairs = np.concatenate(rows, axis=1) if rows else np.zeros((2, 0), np.int64)
+            if pairs.shape[1] > spec.small * len(node):
+                used = np.unique(pairs)
+                kind, x, y = "dense", node[used], component[used]
+                side = mine[used]
+            else:
+                kind, x, y = "pair", node[pairs[0]], node[pairs[1]]
+                side = np.zeros(len(x), np.int32)
+            n = len(x)
+            arrays = [pa.array([kind] * n, pa.string()), pa.array(np.full(n, bucket)), *(pa.array(np.full(n, v, np.int32)) for v in (low, high)), pa.array(side, pa.int32()), pa.array(x), pa.array(y)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["kind", "bucket", "low", "high", "mine", "x", "y"])
+
+    dealt = _blocked(large, spec).join(classes.select("node", "sketch").hint("merge"), "node")
+    dealt = dealt.select("bucket", "low", "high", "mine", "node", "component", "sketch")
+    dealt = dealt.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    made = saved(dealt.mapInArrow(run, "kind string, bucket long, low int, high int, mine int, x long, y long"), "blocks")
+    sparse = made.where("kind = 'pair'").select(F.col("x").alias("node"), F.col("y").alias("hub"))
+    dense = made.where("kind = 'dense'").select("bucket", "low", "high", "mine", F.col("x").alias("node"), F.col("y").alias("component"))
+    return sparse, dense
+
+
+def _dense_links(dense: DataFrame, sets: DataFrame, spec: NearDedup) -> DataFrame:
+    """Links of dense blocks, confirmed on full sets; of those, only what joins components."""
+
+    def run(batches):
+        for group in _groups(batches, 3):
+            low, high = group.column(1)[0].as_py(), group.column(2)[0].as_py()
+            mine, node, component = (group.column(k).to_numpy() for k in (3, 4, 5))
+            sizes = np.array([len(m) // 8 for m in group.column(6).to_pylist()])
+            members = np.frombuffer(b"".join(group.column(6).to_pylist()), np.uint64)
+            kinds, ids = np.unique(members, return_inverse=True)
+            bounds = np.concatenate([[0], np.cumsum(sizes)])
+            flags, root = np.zeros(len(kinds), bool), {int(c): int(c) for c in component}
+            links = []
+
+            def find(c: int) -> int:
+                while root[c] != c:
+                    root[c] = root[root[c]]
+                    c = root[c]
+                return c
+
+            right = mine == high
+            for k in np.flatnonzero(mine == low):
+                mine_ids = ids[bounds[k] : bounds[k + 1]]
+                flags[mine_ids] = True
+                shared = np.add.reduceat(flags[ids], bounds[:-1])
+                flags[mine_ids] = False
+                near = right & (100 * shared >= spec.percent * (sizes + sizes[k] - shared))
+                for other in np.flatnonzero(near):
+                    p, q = find(int(component[k])), find(int(component[other]))
+                    if p != q:
+                        root[max(p, q)] = min(p, q)
+                        links.append((min(node[k], node[other]), max(node[k], node[other])))
+            columns = zip(*links) if links else ([], [])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
+    rows = dense.join(sets.hint("merge"), "node").select("bucket", "low", "high", "mine", "node", "component", "members")
+    rows = rows.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def near_components(docs: DataFrame, spec: NearDedup = NearDedup()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
@@ -189,28 +315,27 @@ def near_components(docs: DataFrame, spec: NearDedup = NearDedup()) -> DataFrame
     full = saved(full.join(classes.select("key", "node"), ["key", "node"], "left_semi").dropDuplicates(["key", "node"]).drop("key"), "sets")
 
     links, labels, tried = None, None, None
-    for hub in (F.min("node"), F.max_by("node", F.xxhash64("node")), None):
-        at = members.withColumn("component", F.col("node"))
-        if labels is not None:
-            at = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        if hub is not None:
-            hubs = at.groupBy("bucket").agg(hub.alias("hub"), F.min("component").alias("x"), F.max("component").alias("y"))
-            hubs = hubs.where("x <> y").join(at.select("bucket", F.col("node").alias("hub"), F.col("component").alias("h")), ["bucket", "hub"])
-            pairs = at.join(hubs, "bucket").where("component <> h")
-        else:
-            apart = at.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-            at = at.join(apart.select("bucket"), "bucket", "left_semi")
-            other = at.select("bucket", F.col("node").alias("hub"), F.col("component").alias("h"))
-            pairs = at.join(other, "bucket").where("component < h")
-        pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        near = saved(_near(pairs, classes, spec), "near")
+    for hub in (F.min("node"), F.max_by("node", F.xxhash64("node"))):
+        at = _labelled(members, labels)
+        hubs = at.groupBy("bucket").agg(hub.alias("hub"), F.min("component").alias("x"), F.max("component").alias("y"))
+        hubs = hubs.where("x <> y").join(at.select("bucket", F.col("node").alias("hub"), F.col("component").alias("h")), ["bucket", "hub"])
+        pairs = at.join(hubs, "bucket").where("component <> h")
+        near = saved(_near(_untried(pairs, tried), classes, spec), "near")
         tried = near if tried is None else tried.union(near)
         found = saved(_confirmed(near, full, spec.percent), "links")
         links = found if links is None else links.union(found)
         if labels is None or not found.isEmpty():
             labels = saved(components(links), "labels")
+    at = _labelled(members, labels)
+    apart = at.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x <> y")
+    at = saved(at.join(apart.select("bucket", "n"), "bucket"), "apart")
+    few = at.where(F.col("n") <= spec.small)
+    pairs = few.join(few.select("bucket", F.col("node").alias("hub"), F.col("component").alias("h")), "bucket").where("component < h")
+    sparse, dense = _large_buckets(at.where(F.col("n") > spec.small), classes, spec)
+    near = _near(_untried(pairs, tried), classes, spec).union(_untried(sparse, tried)).distinct()
+    found = _confirmed(near, full, spec.percent).union(_dense_links(dense, full, spec))
+    links = links.union(saved(found, "links"))
+    labels = saved(components(links), "labels")
 
     known = classes.select("key", "node").join(labels, "node", "left")
     known = known.select("key", F.coalesce("component", "node").alias("component"))
