@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickbars.llm.bpe import Bpe, decode, encode
+from tickbars.llm.decontaminate import contaminated
+from tickbars.llm.language import identify, train
+from tickbars.llm.line_dedup import dedup_lines
 from tickbars.llm.near_dedup import NearDedup, near_components
 from tickbars.llm.repeats import remove_repeats
 
@@ -30,6 +33,23 @@ def op1_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_components(_documents(spark, sf), NearDedup(shingle=4))
 
 
+def _remainder(divisor: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+
+
+@query
+def op4_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _documents(spark, sf)
+    model = train(docs.where(_remainder(3) != 1))
+    found = identify(docs, model)
+    return found.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminated(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     bpe = Bpe.from_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -42,6 +62,12 @@ def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    made = dedup_lines(_documents(spark, sf))
+    return made.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op10_repeats(spark: SparkSession, sf: str) -> DataFrame:
     kept = remove_repeats(_documents(spark, sf))
