@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 from tickbars.llm.bpe import Bpe, decode, encode
 from tickbars.llm.decontaminate import contaminated
+from tickbars.llm.fingerprint import fingerprints
+from tickbars.llm.html_text import extract
 from tickbars.llm.language import identify, train
 from tickbars.llm.line_dedup import dedup_lines
 from tickbars.llm.near_dedup import NearDedup, near_components
 from tickbars.llm.repeats import remove_repeats
+from tickbars.llm.warc import read_archives, write_archives
+from tickbars.sources.paths import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,6 +37,19 @@ def op1_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_components(_documents(spark, sf), NearDedup(shingle=4))
 
 
+@query
+def op2_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return extract(spark.read.parquet(f"{sf}/pages.parquet"))
+
+
+@query
+def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch_dir(spark, "warc")
+    write_archives(spark.read.parquet(f"{sf}/pages.parquet"), folder)
+    records, _ = read_archives(spark, folder)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
 def _remainder(divisor: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
 
@@ -68,6 +85,11 @@ def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return made.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op9_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints(_documents(spark, sf))
+
+
 @query
 def op10_repeats(spark: SparkSession, sf: str) -> DataFrame:
     kept = remove_repeats(_documents(spark, sf))
