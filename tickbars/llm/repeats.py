@@ -44,7 +44,7 @@ class Repeats:
     length: int = 200
     reach: int = 128
     trigger: int = 16
-    group: int = 64
+    group: int = 16_384
 
     def __post_init__(self) -> None:
         if self.reach & (self.reach - 1) or self.reach + self.trigger > self.length:
@@ -139,11 +139,22 @@ def _spans(members: pa.Array, row: np.ndarray, at: np.ndarray) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays(arrays, names=["id", "h", "first", "last"])
 
 
+def _by_members(batches, limit: int = 1 << 12):
+    """The batches cut to rows with ``limit`` members together, or one row."""
+    for batch in batches:
+        ends, at = np.cumsum(np.diff(batch.column("members").offsets.to_numpy())), 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, side="right")))
+            # A copy, as the offsets of a slice would still be those of the batch.
+            yield pa.RecordBatch.from_arrays([pa.array(batch.column("members").slice(at, to - at).to_pylist(), batch.column("members").type)], names=["members"])
+            at = to
+
+
 def _small_groups(groups: DataFrame, length: int) -> DataFrame:
     """Strings that phrases with one core share; ``members`` holds all those phrases."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _by_members(batches):
             lists = batch.column("members")
             members = lists.flatten()
             group = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
