@@ -157,32 +157,32 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _rewritten(batches):
+    """Batches that end in text and gone, with these replaced by what is left."""
     for batch in batches:
         rows = []
         for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist()):
-            lines = (text or b"").split(b"\n") if text is not None else []
+            lines = [] if text is None else text.split(b"\n")
             gone = set(gone or ())
-            kept = None if text is None else b"\n".join(x for k, x in enumerate(lines) if k not in gone) if gone else text
+            kept = b"\n".join(x for k, x in enumerate(lines) if k not in gone) if gone else text
             rows.append((len(lines), len(gone), kept))
-        made = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))] if rows else []
-        if made:
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *made], names=["doc_id", "key", "n_lines", "n_removed", "kept"])
+        made = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 3, (pa.int64(), pa.int64(), pa.binary()))]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *made], names=[*batch.schema.names[:-2], "n_lines", "n_removed", "kept"])
 
 
-def dedup_lines(docs: DataFrame, spec: LineDedup = LineDedup()) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, key, n_lines, n_removed, kept (binary).
+def dedup_lines(docs: DataFrame, spec: LineDedup = LineDedup(), carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): columns ``carry``, n_lines, n_removed, kept (binary).
 
     A line goes if a line of an earlier place, (doc_id, hash of the text, line
     number), has the same words or lies within one edit of it; places are
     compared on the input, so what removes a line may go itself. A null doc_id
     comes first. Rows equal in doc_id and text are one place and stay alike.
-    Lines with fewer than ``least`` words stay. ``key`` is that hash; it tells
-    rows of one doc_id apart. A null text has no lines and stays null.
+    Lines with fewer than ``least`` words stay. A null text has no lines and
+    stays null.
     """
     texts = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("id"),
         F.xxhash64("text").alias("h"),
-        F.col("doc_id").cast("long").alias("doc_id"),
+        *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(carry)],
         F.col("text").cast("binary").alias("text"),
     )
     lines = saved(_lines(texts, spec), "lines")
@@ -211,5 +211,8 @@ def dedup_lines(docs: DataFrame, spec: LineDedup = LineDedup()) -> DataFrame:
     fate = fate.select("a", "b", F.coalesce("near", F.lit(False)).alias("near"), "place")
     gone = lines.join(fate.hint("merge"), ["a", "b"]).where(F.col("near") | (F.struct("id", "h", "line") != F.col("place")))
     gone = gone.groupBy("id", "h").agg(F.collect_set("line").alias("gone"))
-    out = texts.join(gone.hint("merge"), ["id", "h"], "left").select("doc_id", F.col("h").alias("key"), "text", "gone")
-    return out.mapInArrow(_rewritten, "doc_id long, key long, n_lines long, n_removed long, kept binary")
+    out = texts.join(gone.hint("merge"), ["id", "h"], "left").select(*[f"_{i}" for i in range(len(carry))], "text", "gone")
+    kinds_ = dict(docs.dtypes)
+    schema = ", ".join([*(f"_{i} {kinds_[c]}" for i, c in enumerate(carry)), "n_lines long", "n_removed long", "kept binary"])
+    out = out.mapInArrow(_rewritten, schema)
+    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(carry)], "n_lines", "n_removed", "kept")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickbars.llm import lm_score
 from tickbars.llm.bpe import Bpe, decode, encode
 from tickbars.llm.decontaminate import contaminated
 from tickbars.llm.fingerprint import fingerprints
@@ -50,16 +52,17 @@ def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
-def _remainder(divisor: int):
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+def _held_out(divisor: int) -> Column:
+    """Whether crc32 of the id as text leaves 1; a null id is never held out."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor)) == 1, F.lit(False))
 
 
 @query
 def op4_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = _documents(spark, sf)
-    model = train(docs.where(_remainder(3) != 1))
+    model = train(docs.where(~_held_out(3)))
     found = identify(docs, model)
-    return found.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+    return found.select("doc_id", _held_out(3).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 @query
@@ -67,6 +70,13 @@ def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return contaminated(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
 
 
+@query
+def op6_lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _documents(spark, sf)
+    model = lm_score.train(docs.where(~_held_out(5)))
+    return lm_score.score(docs, model).withColumn("held_out", _held_out(5))
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     bpe = Bpe.from_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -94,3 +104,8 @@ def op9_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
 def op10_repeats(spark: SparkSession, sf: str) -> DataFrame:
     kept = remove_repeats(_documents(spark, sf))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf)
