@@ -35,7 +35,7 @@ class LanguageSpec:
     order: int = 4
     sample: int = 1000
     discount: float = 0.75
-    reject: float = 8.0
+    reject: float = 12.0
 
 
 @lru_cache(maxsize=1)
