@@ -113,8 +113,8 @@ class LanguageModel:
                 slot = np.minimum(np.searchsorted(self.contexts[n - 1], context), len(self.contexts[n - 1]) - 1)
                 hit = self.contexts[n - 1][slot] == context
                 logs[missed[hit]] += self.weights[n - 1][slot[hit]]
-            elif n == 1:
-                logs[missed] += self.unseen
+            elif len(missed):
+                logs[missed] += self.unseen + self.weights[0][0]
             at = np.concatenate([rest, missed])
         counts = np.maximum(np.diff(bounds) - 1, 0)
         total = np.stack([per_text(logs[:, k].astype(np.float64), bounds, np.add, 0.0) for k in range(len(self.languages))], axis=1)
@@ -161,6 +161,8 @@ def _gram_hash(grams: Iterable[str]) -> np.ndarray:
 
 def _smoothed(rows: list[tuple], languages: list[str], spec: LanguageSpec) -> LanguageModel:
     """Interpolated Kneser-Ney tables of the counts: continuation counts below the highest order."""
+    if not rows:
+        return LanguageModel([], spec, [], [], [], [], 0.0)
     counts: list[list[Counter]] = [[Counter() for _ in languages] for _ in range(spec.order)]
     where = {lang: k for k, lang in enumerate(languages)}
     for lang, gram, n in rows:
@@ -220,7 +222,10 @@ def train(labelled: DataFrame, spec: LanguageSpec = LanguageSpec()) -> LanguageM
 
 def _calibrate(model: LanguageModel, held: DataFrame) -> None:
     """Scale of the scores by least log loss; mean and spread of the entropies per language."""
-    shared, n = held.sparkSession.sparkContext.broadcast(model), len(model.languages)
+    n = len(model.languages)
+    if not n:
+        return
+    shared = held.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for part in slices(batches, limit=1 << 19):
@@ -228,7 +233,7 @@ def _calibrate(model: LanguageModel, held: DataFrame) -> None:
             lists = pa.FixedSizeListArray.from_arrays(pa.array(values.ravel()), n).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([part.column("lang"), lists, pa.array(counts)], names=["lang", "values", "n"])
 
-    rows = held.select("lang", "text").mapInArrow(run, "lang string, values array<double>, n long").where("n > 0").collect() if n else []
+    rows = held.select("lang", "text").mapInArrow(run, "lang string, values array<double>, n long").where("n > 0").collect()
     model.mean, model.spread, model.noise = np.full(n, 3.0), np.full(n, 0.3), np.full(n, 3.0)
     if not rows:
         return
@@ -263,8 +268,8 @@ def identify(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("do
         model = shared.value
         names = pa.array([*model.languages, "und"])
         for part in slices(batches, limit=1 << 19):
-            values, counts = model.entropies(*text_bytes(part.column("text")))
-            if len(model.languages):
+            if model.languages:
+                values, counts = model.entropies(*text_bytes(part.column("text")))
                 best = np.where(counts > 0, values.argmin(axis=1), len(model.languages))
                 x = -(values - values.min(axis=1, keepdims=True)) * (np.sqrt(counts) * model.scale)[:, None]
                 score = np.where(counts > 0, 1.0 / np.exp(x).sum(axis=1), 0.0)

@@ -9,9 +9,11 @@ rest is confirmed on full sets.
 
 Equal sets form a class before anything is compared. Classes of a bucket are
 compared with one hub, then those still apart with another one, so a group of
-copies costs a few pairs per member. At last all classes of a bucket that are
-still in different components are compared with each other, in large buckets
-block by block inside the tasks, so that no pair of a bucket goes untested.
+copies costs a few pairs per member. Classes that are still apart from others
+of a bucket are then compared with all of their family, those with the same
+hub in most of their buckets, and at last with those of other families in
+their buckets. Large families and buckets are compared block by block inside
+the tasks, so no pair of a bucket goes untested and few leave a task.
 A null text counts as empty; a text without words is linked with nothing.
 """
 
@@ -179,6 +181,18 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
+def _apart(at: DataFrame, also: str = "component") -> DataFrame:
+    """The buckets with more than one component, and more than one ``also``, with their size as n."""
+    ends = [F.min("component").alias("x"), F.max("component").alias("y"), F.min(also).alias("p"), F.max(also).alias("q"), F.count("*").alias("n")]
+    return at.join(at.groupBy("bucket").agg(*ends).where("x <> y AND p <> q").select("bucket", "n"), "bucket")
+
+
+def _pairs(at: DataFrame, also: str = "component") -> DataFrame:
+    """(node, hub) of one bucket that differ in component and in ``also``."""
+    other = at.select("bucket", F.col("node").alias("hub"), F.col("component").alias("h"), F.col(also).alias("g"))
+    return at.join(other, "bucket").where((F.col("component") < F.col("h")) & (F.col(also) != F.col("g")))
+
+
 def _untried(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
     """Pairs of ``node`` and ``hub`` as distinct (a, b) with a < b that are not in ``tried``."""
     pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
@@ -209,12 +223,13 @@ def _blocked(large: DataFrame, spec: NearDedup) -> DataFrame:
     blocks = F.ceil(F.col("n") / spec.block).cast("int")
     mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
-    dealt = large.select("bucket", "node", "component", mine.alias("mine"), other)
-    return dealt.select("bucket", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", "component")
+    kept = [c for c in large.columns if c not in ("bucket", "n")]
+    dealt = large.select("bucket", *kept, mine.alias("mine"), other)
+    return dealt.select("bucket", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", *kept)
 
 
 def _large_buckets(large: DataFrame, classes: DataFrame, spec: NearDedup) -> tuple[DataFrame, DataFrame]:
-    """Sketches of large buckets compared block by block.
+    """Sketches of large buckets, of different families, compared block by block.
 
     Gives (node, hub) pairs near enough from blocks with few of them; from the
     others, members with a near partner, to be compared on full sets in place.
@@ -224,13 +239,13 @@ def _large_buckets(large: DataFrame, classes: DataFrame, spec: NearDedup) -> tup
     def run(batches):
         for group in _groups(batches, 3):
             bucket, low, high = (group.column(k)[0].as_py() for k in range(3))
-            mine, node, component = (group.column(k).to_numpy() for k in (3, 4, 5))
-            sketch = np.array(group.column(6).to_pylist(), np.int64)
+            mine, node, component, family = (group.column(k).to_numpy() for k in (3, 4, 5, 6))
+            sketch = np.array(group.column(7).to_pylist(), np.int64)
             left, right = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
             rows = []
             for k in left:
                 others = right[right > k] if low == high else right
-                others = others[component[others] != component[k]]
+                others = others[(component[others] != component[k]) & (family[others] != family[k])]
                 near = others[np.bitwise_count(sketch[others] ^ sketch[k]).sum(axis=1) <= limit]
                 rows.append(np.stack([np.full(len(near), k), near]))
             pairs = np.concatenate(rows, axis=1) if rows else np.zeros((2, 0), np.int64)
@@ -246,7 +261,7 @@ def _large_buckets(large: DataFrame, classes: DataFrame, spec: NearDedup) -> tup
             yield pa.RecordBatch.from_arrays(arrays, names=["kind", "bucket", "low", "high", "mine", "x", "y"])
 
     dealt = _blocked(large, spec).join(classes.select("node", "sketch").hint("merge"), "node")
-    dealt = dealt.select("bucket", "low", "high", "mine", "node", "component", "sketch")
+    dealt = dealt.select("bucket", "low", "high", "mine", "node", "component", "family", "sketch")
     dealt = dealt.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
     made = saved(dealt.mapInArrow(run, "kind string, bucket long, low int, high int, mine int, x long, y long"), "blocks")
     sparse = made.where("kind = 'pair'").select(F.col("x").alias("node"), F.col("y").alias("hub"))
@@ -326,16 +341,24 @@ def near_components(docs: DataFrame, spec: NearDedup = NearDedup()) -> DataFrame
         links = found if links is None else links.union(found)
         if labels is None or not found.isEmpty():
             labels = saved(components(links), "labels")
-    at = _labelled(members, labels)
-    apart = at.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x <> y")
-    at = saved(at.join(apart.select("bucket", "n"), "bucket"), "apart")
-    few = at.where(F.col("n") <= spec.small)
-    pairs = few.join(few.select("bucket", F.col("node").alias("hub"), F.col("component").alias("h")), "bucket").where("component < h")
-    sparse, dense = _large_buckets(at.where(F.col("n") > spec.small), classes, spec)
-    near = _near(_untried(pairs, tried), classes, spec).union(_untried(sparse, tried)).distinct()
-    found = _confirmed(near, full, spec.percent).union(_dense_links(dense, full, spec))
-    links = links.union(saved(found, "links"))
-    labels = saved(components(links), "labels")
+    # Nodes still apart from others of a bucket, by family: the hub they share most buckets with.
+    at = _apart(_labelled(members, labels))
+    shares = at.join(at.groupBy("bucket").agg(F.min("node").alias("hub")), "bucket").groupBy("node", "hub").agg(F.count("*").alias("n"))
+    families = saved(shares.groupBy("node").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("family")), "families")
+    at = _apart(_labelled(families.select(F.col("family").alias("bucket"), "node"), labels))
+    few, many = at.where(F.col("n") <= spec.small), at.where(F.col("n") > spec.small)
+    near = saved(_near(_untried(_pairs(few), tried), classes, spec), "near")
+    found = saved(_confirmed(near, full, spec.percent).union(_dense_links(_blocked(many, spec), full, spec)), "links")
+    links, labels = links.union(found), saved(components(links.union(found)), "labels")
+    # What is left are pairs of different families.
+    at = _labelled(members, labels).join(families.hint("merge"), "node")
+    at = saved(_apart(at, "family"), "apart")
+    few, many = at.where(F.col("n") <= spec.small), at.where(F.col("n") > spec.small)
+    sparse, dense = _large_buckets(many, classes, spec)
+    near = _near(_untried(_pairs(few, "family"), tried), classes, spec).union(_untried(sparse, tried)).distinct()
+    found = saved(_confirmed(near, full, spec.percent).union(_dense_links(dense, full, spec)), "links")
+    if not found.isEmpty():
+        labels = saved(components(links.union(found)), "labels")
 
     known = classes.select("key", "node").join(labels, "node", "left")
     known = known.select("key", F.coalesce("component", "node").alias("component"))
