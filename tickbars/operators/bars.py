@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickbars.functions.timestamps import floor_minutes, to_local, to_utc
+from tickbars.functions.timestamps import floor_minutes, to_local
 from tickbars.operators.ticks import KEPT
 from tickbars.settings import Settings
 
@@ -51,14 +51,19 @@ def _as_candles(bars: DataFrame, settings: Settings) -> DataFrame:
 
 
 def rollup(candles: DataFrame, minutes: int, settings: Settings) -> DataFrame:
-    """One-minute bars to ``minutes``-wide bars, aligned to the local hour."""
+    """One-minute bars to ``minutes``-wide bars, aligned to the local hour.
+
+    Buckets are instants, so the hour that comes twice when clocks go back
+    gives bars of its own each time.
+    """
     if minutes < 1 or 60 % minutes:
         raise ValueError(f"minutes must divide 60, got {minutes}")
-    buckets = candles.withColumn("bucket", floor_minutes(F.col("minute_local"), minutes))
+    past = F.minute("minute_local") % minutes
+    buckets = candles.withColumn("bucket", F.timestamp_add("MINUTE", -past, F.col("ts")))
     return (
         buckets.groupBy("symbol", "trade_date", "bucket")
         .agg(*_rolled("ts"))
-        .select("symbol", "trade_date", to_utc(F.col("bucket"), settings.timezone).alias("ts"), *OHLCV)
+        .select("symbol", "trade_date", F.col("bucket").alias("ts"), *OHLCV)
     )
 
 

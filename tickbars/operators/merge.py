@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,14 @@ def last_per_key(rows: DataFrame, key: Sequence[str], newest: Sequence[str]) ->
     return rows.groupBy(*key).agg(best.alias("_best")).select(*key, "_best.*").select(*rows.columns)
 
 
+def check_keys(rows: DataFrame, key: Sequence[str]) -> None:
+    """Raise if a key is null or occurs twice."""
+    null = reduce(or_, (F.col(c).isNull() for c in key))
+    wrong = rows.groupBy(*key).agg(F.count("*").alias("n")).filter(null | (F.col("n") > 1)).take(3)
+    if wrong:
+        raise ValueError(f"null or repeated keys {tuple(key)}: {[tuple(r) for r in wrong]}")
+
+
 def upsert(existing: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFrame:
     """Existing rows, replaced by or joined with ``updates`` on ``key``."""
     kept = existing.join(updates.select(*key), list(key), "left_anti")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tickbars.functions.sessions import session_windows
-from tickbars.functions.timestamps import to_utc
+from tickbars.functions.timestamps import to_local, to_utc
 from tickbars.operators.bars import OHLCV, daily_bars
 from tickbars.operators.status import COMPLETE, effective_status
 from tickbars.settings import Settings
@@ -33,23 +33,24 @@ def flat_fill(candles: DataFrame, settings: Settings) -> DataFrame:
     midnight = F.col("trade_date").cast("timestamp_ntz")
     grid = (
         candles.groupBy("symbol", "trade_date")
-        .agg(F.min("minute_local").alias("first_minute"))
+        .agg(F.min("ts").alias("first_ts"))
         .withColumn("w", F.explode(session_windows(F.col("trade_date"), settings.session)))
         .select(
             "symbol",
             "trade_date",
             F.greatest(
-                F.timestamp_add("SECOND", F.col("w.start_second"), midnight), F.col("first_minute")
+                to_utc(F.timestamp_add("SECOND", F.col("w.start_second"), midnight), settings.timezone), F.col("first_ts")
             ).alias("start"),
-            F.timestamp_add("SECOND", F.col("w.end_second") - 60, midnight).alias("stop"),
+            to_utc(F.timestamp_add("SECOND", F.col("w.end_second") - 60, midnight), settings.timezone).alias("stop"),
         )
         .filter(F.col("start") <= F.col("stop"))
-        .select("symbol", "trade_date", F.explode(F.sequence("start", "stop", one_minute)).alias("minute_local"))
+        .select("symbol", "trade_date", F.explode(F.sequence("start", "stop", one_minute)).alias("ts"))
     )
-    so_far = W.partitionBy("symbol", "trade_date").orderBy("minute_local").rowsBetween(W.unboundedPreceding, 0)
-    bars = candles.select("symbol", "trade_date", "minute_local", *OHLCV)
-    key = ["symbol", "trade_date", "minute_local"]
-    slots = bars.unionByName(grid, allowMissingColumns=True)
+    so_far = W.partitionBy("symbol", "trade_date").orderBy("ts").rowsBetween(W.unboundedPreceding, 0)
+    bars = candles.select("symbol", "trade_date", "ts", *OHLCV)
+    key = ["symbol", "trade_date", "ts"]
+    # One exchange serves both the merge of a minute and the window over its day.
+    slots = bars.unionByName(grid, allowMissingColumns=True).repartition("symbol", "trade_date")
     # Real bar and grid slot of a minute meet here; aggregates skip the nulls.
     merged = slots.groupBy(*key).agg(*(F.max(c).alias(c) for c in OHLCV))
     real = F.col("close").isNotNull()
@@ -59,8 +60,8 @@ def flat_fill(candles: DataFrame, settings: Settings) -> DataFrame:
         .select(
             "symbol",
             "trade_date",
-            to_utc(F.col("minute_local"), settings.timezone).alias("ts"),
-            "minute_local",
+            "ts",
+            to_local(F.col("ts"), settings.timezone).alias("minute_local"),
             *(F.coalesce(F.col(c), F.col("carried")).alias(c) for c in OHLCV[:4]),
             F.coalesce(F.col("volume"), F.lit(0)).alias("volume"),
             real.alias("had_trade"),

@@ -81,17 +81,28 @@ def file_date_range(files: DataFrame) -> DataFrame:
     )
 
 
-def within_file_dates(ticks: DataFrame, files: DataFrame, before: int = 7, after: int = 1) -> DataFrame:
-    """Drop stale days: keep [first file date - 7, last file date + 1].
+def _within(files: DataFrame, before: int | None, after: int | None) -> Column:
+    bounds = file_date_range(files)
+    day, inside = F.col("trade_date"), F.lit(True)
+    if before is not None:
+        inside &= day >= F.coalesce(bounds.select(F.date_sub("first_date", before)).scalar(), day)
+    if after is not None:
+        inside &= day <= F.coalesce(bounds.select(F.date_add("last_date", after)).scalar(), day)
+    return inside
+
+
+def within_file_dates(ticks: DataFrame, files: DataFrame, before: int | None = 7, after: int | None = 1) -> DataFrame:
+    """Drop stale days: keep [first file date - ``before``, last file date + ``after``].
 
-    Files without a date in their name set no bound; with none at all
-    everything stays.
+    Files without a date in their name set no bound; with none at all, or with
+    None for a side, everything stays.
     """
-    bounds = file_date_range(files)
-    earliest = bounds.select(F.date_sub("first_date", before)).scalar()
-    latest = bounds.select(F.date_add("last_date", after)).scalar()
-    day = F.col("trade_date")
-    return ticks.filter((day >= F.coalesce(earliest, day)) & (day <= F.coalesce(latest, day)))
+    return ticks.filter(_within(files, before, after))
+
+
+def outside_file_dates(ticks: DataFrame, files: DataFrame, before: int | None = 7, after: int | None = 1) -> DataFrame:
+    """The stale days that ``within_file_dates`` drops."""
+    return ticks.filter(~_within(files, before, after))
 
 
 def _defect() -> Column:

@@ -6,6 +6,7 @@ That cuts the lineage, computes it once and survives lost executors.
 
 from __future__ import annotations
 
+from contextlib import nullcontext
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,10 +14,10 @@ from pyspark.sql import functions as F
 
 from tickbars.functions.fields import file_date
 from tickbars.operators import bars, calendar, quality, replication, reports, status, ticks
-from tickbars.schemas import CHECKED_CANDLES, COPY_CANDLES, DATES, TRADE_SLICES
+from tickbars.schemas import CHECKED_CANDLES, COPY_CANDLES, DATES, DAY_SYMBOLS, INGESTED, PROBLEMS, TRADE_SLICES
 from tickbars.settings import Settings
 from tickbars.sources import store as tables
-from tickbars.sources.files import read_raw_ticks
+from tickbars.sources.files import read_problems, read_raw_ticks
 from tickbars.sources.store import Store
 
 REPLICATION_MODES = ("merge", "audit")
@@ -36,26 +37,60 @@ def run_timestamp(built_at: datetime | None = None) -> Column:
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def ingest(spark: SparkSession, path: str | list[str], store: Store, settings: Settings) -> None:
-    """Raw files to the archive in one pass."""
-    archive(store, ticks.normalise_ticks(read_raw_ticks(spark, path, settings), settings), settings)
+def ingest(spark: SparkSession, path: str | list[str], store: Store, settings: Settings) -> DataFrame:
+    """Raw files to the archive; unreadable ones to the problems. Returns the days that files no longer have."""
+    normalised = ticks.normalise_ticks(read_raw_ticks(spark, path, settings), settings)
+    return archive(store, normalised, settings, problems=read_problems(spark, path, settings))
 
 
-def archive(store: Store, normalised: DataFrame, settings: Settings, files: DataFrame | None = None) -> None:
+def archive(
+    store: Store, normalised: DataFrame, settings: Settings, files: DataFrame | None = None, problems: DataFrame | None = None
+) -> DataFrame:
     """Write ticks to the archive and list which days each file brought.
 
     The list comes from the partitions just written, all or those of
-    ``files``; later steps ask this small table instead of the archive.
+    ``files``; later steps ask this small table instead of the archive. Days
+    that an earlier form of a file had, and this one has not, leave the
+    archive; they are returned (trade_date), to be worked out anew.
     """
+    known = store.read(tables.INGESTED, files)
+    if problems is not None and settings.source_format == "sqlite":
+        with store.staged(problems, PROBLEMS) as broken:
+            store.overwrite_partitions(tables.PROBLEMS, broken)
+            again = normalised.select("source_file").distinct()
+            mended = store.read(tables.PROBLEMS).join(again, "source_file", "left_semi")
+            store.drop_partitions(tables.PROBLEMS, mended)
+    stale = store.spark.createDataFrame([], INGESTED)
+    if not known.isEmpty():
+        # Only files that come again cost a second look at their rows.
+        now = normalised.groupBy("source_file", "trade_date").agg(F.count("*").alias("_now"))
+        listed = now.select("source_file").distinct()
+        if problems is not None:
+            listed = listed.unionByName(problems.select("source_file")).distinct()
+        if files is not None:
+            listed = listed.unionByName(files.select("source_file")).distinct()
+        same = (known["source_file"] == now["source_file"]) & known["trade_date"].eqNullSafe(now["trade_date"])
+        stale = known.join(now, same, "left_anti").join(listed, "source_file", "left_semi")
+        stale = store.spark.createDataFrame(stale.select(*INGESTED.fieldNames()).collect(), INGESTED)  # files that shrank
+        store.drop_partitions(tables.INGESTED, stale)
+        store.drop_partitions(tables.ARCHIVE, stale)
     store.archive(normalised, cluster=settings.file_layout != "one_per_day")
     brought = store.read(tables.ARCHIVE, files).groupBy("source_file", "trade_date").agg(F.count("*").alias("n_ticks"))
     store.overwrite_partitions(tables.INGESTED, brought)
+    return stale.select("trade_date").where("trade_date IS NOT NULL").distinct()
 
 
-def archived_dates(store: Store) -> DataFrame:
-    """Days in the archive that lie in the range of its file dates."""
-    brought = store.read(tables.INGESTED)
-    return ticks.within_file_dates(ticks.ticks_for_dates(brought), brought).select("trade_date").distinct()
+def archived_dates(store: Store, settings: Settings) -> DataFrame:
+    """Days in the archive that lie in the range of its file dates; the others are listed in STALE."""
+    brought, limits = store.read(tables.INGESTED), settings.limits
+    window = (limits.stale_days_before, limits.stale_days_after)
+    dated = ticks.ticks_for_dates(brought)
+    outside = ticks.outside_file_dates(dated, brought, *window).groupBy("trade_date").agg(F.sum("n_ticks").alias("n_rows"))
+    inside = ticks.within_file_dates(dated, brought, *window).select("trade_date").distinct()
+    with store.staged(outside.withColumn("problem", F.lit("outside the file dates")), PROBLEMS) as skipped:
+        store.drop_partitions(tables.STALE, store.read(tables.STALE).join(skipped, "trade_date", "left_anti"))
+        store.overwrite_partitions(tables.STALE, skipped)
+    return inside
 
 
 def process_days(
@@ -70,11 +105,13 @@ def process_days(
     """Recompute ``dates`` from the archive and write every table for them."""
     _one_of(replication_mode, REPLICATION_MODES)
     _one_of(write_mode, WRITE_MODES)
+    if replication_mode == "audit" and settings.file_layout == "one_per_symbol":
+        raise ValueError("files of one symbol each are no copies of a day; use replication_mode='merge'")
     now = run_timestamp(built_at)
     with store.staged(dates.select("trade_date").distinct(), DATES) as days:
         feed = store.read(tables.ARCHIVE, days)
         undated = _undated_ticks(store)
-        _write_rejects(store, feed.unionByName(undated))
+        _write_rejects(store, feed, undated, days)
         contradicted = None
         if replication_mode == "audit":
             with store.staged(replication.copy_candles(feed), COPY_CANDLES) as copies:
@@ -92,9 +129,13 @@ def process_days(
                 stats = store.read(tables.VALIDATION, days)
                 store.replace_days(tables.QUARANTINE, quality.quarantined_candles(checked), days, stage=False)
                 loadable = status.loadable_candles(quality.valid_candles(checked), stats)
-                _write_candles(store, write_mode, loadable, stats, days, now)
-                if csv:
-                    store.write_candle_csvs(loadable)
+                before = store.read(tables.CANDLES, days).select("symbol", "trade_date").distinct()
+                with store.staged(before, DAY_SYMBOLS) if csv else nullcontext() as before:
+                    _write_candles(store, write_mode, loadable, stats, days, now)
+                    if csv:
+                        stored = store.read(tables.CANDLES, days).select("symbol", "trade_date").distinct()
+                        store.drop_candle_csvs(before.join(stored, ["symbol", "trade_date"], "left_anti"))
+                        store.write_candle_csvs(loadable)
 
 
 def _write_candles(
@@ -106,7 +147,7 @@ def _write_candles(
         store.replace_days(tables.CANDLES, loadable, days, stage=False)
         store.replace_days(tables.DAY_STATUS, own.unionByName(market), days)
         return
-    store.upsert(tables.CANDLES, loadable)
+    store.upsert(tables.CANDLES, loadable, stage=False)
     store.upsert(tables.DAY_STATUS, own)
     changes = market.select("symbol", "trade_date", "status", "reason", "built_at")
     store.partial_upsert(
@@ -126,9 +167,14 @@ def _of_file_dates(undated: DataFrame, days: DataFrame) -> DataFrame:
     return dated.join(wanted, "_day", "left_semi").drop("_day")
 
 
-def _write_rejects(store: Store, feed: DataFrame) -> None:
-    day = F.coalesce("trade_date", file_date(F.col("source_file")))
-    store.overwrite_partitions(tables.REJECTS, ticks.rejected_ticks(feed).withColumn("reject_date", day))
+def _write_rejects(store: Store, feed: DataFrame, undated: DataFrame, days: DataFrame) -> None:
+    """Make the rejects of ``days`` what the archive has for them; ticks without any date have a partition of their own."""
+    own = ticks.rejected_ticks(feed).withColumn("reject_date", F.col("trade_date"))
+    day = file_date(F.col("source_file"))
+    by_file = ticks.rejected_ticks(_of_file_dates(undated, days)).withColumn("reject_date", day)
+    lone = ticks.rejected_ticks(undated.filter(day.isNull())).withColumn("reject_date", F.lit(None).cast("date"))
+    store.drop_partitions(tables.REJECTS, store.spark.createDataFrame([(None,)], "reject_date DATE"))
+    store.replace_days(tables.REJECTS, own.unionByName(by_file).unionByName(lone), days)
 
 
 def coverage_report(
@@ -158,7 +204,8 @@ def backfill(
 
     Returns the one-row run summary.
     """
-    ingest(spark, path, store, settings)
-    process_days(store, settings, archived_dates(store), replication_mode, write_mode, built_at, csv)
+    emptied = ingest(spark, path, store, settings)
+    dates = archived_dates(store, settings).unionByName(emptied).distinct()
+    process_days(store, settings, dates, replication_mode, write_mode, built_at, csv)
     store.write_coverage(coverage_report(store, settings, coverage_mode, closed))
     return reports.run_summary(store.read_coverage(), store.read(tables.CANDLES))

@@ -76,10 +76,14 @@ QUARANTINE = _schema(
 
 DATES = _schema("trade_date DATE")
 
+DAY_SYMBOLS = _schema("symbol STRING, trade_date DATE")
+
 FILES = _schema("source_file STRING")
 
 INGESTED = _schema("source_file STRING, trade_date DATE, n_ticks BIGINT")
 
+PROBLEMS = _schema("source_file STRING, trade_date DATE, problem STRING, n_rows BIGINT")
+
 TRADE_SLICES = _schema(
     "fate INT, symbol STRING, slice BIGINT, trade_date DATE, first_ts TIMESTAMP_NTZ, n_ticks BIGINT, "
     "n_trades BIGINT, n_spikes BIGINT, open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume BIGINT"

@@ -73,6 +73,9 @@ class Limits:
     min_session_minutes: int = 60
     min_symbol_minutes: int = 10
     gap_seconds: int = 7200
+    # Days kept before the first and after the last date in the file names; None keeps all.
+    stale_days_before: int | None = 7
+    stale_days_after: int | None = 1
     # Width of the time slices that spread one symbol-day over many tasks.
     slice_seconds: int = 1
 
@@ -143,7 +146,7 @@ class Settings:
             limits=Limits(**{k: v for k, v in limits.items() if k in Limits.__dataclass_fields__}),
             columns=SourceColumns(**{k: v for k, v in names.items() if k in SourceColumns.__dataclass_fields__}),
             timestamp_format=cfg.get("timestamp_format", "auto"),
-            source_format=cfg.get("source_format", "sqlite"),
-            file_layout=cfg.get("file_layout", "one_per_day"),
+            source_format=cfg.get("source_format", cls.source_format),
+            file_layout=cfg.get("file_layout", cls.file_layout),
             **extra,
         )

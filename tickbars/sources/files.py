@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickbars.functions.fields import file_date
-from tickbars.schemas import RAW_TICKS, conform
+from tickbars.schemas import PROBLEMS, RAW_TICKS, conform
 from tickbars.settings import Settings
+from tickbars.sources.paths import path_exists
 from tickbars.sources.sqlite import SqliteTicks
 
 
@@ -52,8 +53,8 @@ def read_csv_ticks(spark: SparkSession, path: str | list[str], settings: Setting
 
 
 def read_sqlite_ticks(spark: SparkSession, path: str | list[str], settings: Settings) -> DataFrame:
-    """Ticks of SQLite files; an unreadable file gives none (see ``sqlite_read_errors``)."""
-    return _sqlite(spark, path, settings).filter(F.col("read_error").isNull()).drop("read_error")
+    """Ticks of SQLite files; one that breaks off anywhere gives none (see ``sqlite_read_errors``)."""
+    return whole_files(_sqlite(spark, path, settings))
 
 
 def sqlite_read_errors(spark: SparkSession, path: str | list[str], settings: Settings) -> DataFrame:
@@ -61,6 +62,12 @@ def sqlite_read_errors(spark: SparkSession, path: str | list[str], settings: Set
     return _sqlite(spark, path, settings).filter(F.col("read_error").isNotNull()).select("source_file", "read_error")
 
 
+def whole_files(read: DataFrame) -> DataFrame:
+    """The rows of files that could be read to their end."""
+    broken = read.filter(F.col("read_error").isNotNull()).select("source_file").distinct()
+    return read.filter(F.col("read_error").isNull()).drop("read_error").join(broken, "source_file", "left_anti")
+
+
 def _sqlite(spark: SparkSession, path: str | list[str], settings: Settings) -> DataFrame:
     names = settings.columns
     spark.dataSource.register(SqliteTicks)
@@ -83,8 +90,18 @@ def read_raw_ticks(spark: SparkSession, path: str | list[str], settings: Setting
     return read(spark, path, settings)
 
 
+def read_problems(spark: SparkSession, path: str | list[str], settings: Settings) -> DataFrame:
+    """One row per unreadable file: source_file, trade_date in its name, problem, n_rows."""
+    if settings.source_format != "sqlite":
+        return spark.createDataFrame([], PROBLEMS)
+    errors = sqlite_read_errors(spark, path, settings).groupBy("source_file").agg(F.min("read_error").alias("problem"))
+    return conform(errors.withColumn("trade_date", file_date(F.col("source_file"))), PROBLEMS)
+
+
 def landed_files(spark: SparkSession, path: str, settings: Settings) -> DataFrame:
     """File names below ``path`` that match the glob, with the date in the name."""
+    if not path_exists(spark, path):
+        return _empty(spark).select("source_file").withColumn("trade_date", F.lit(None).cast("date"))
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", settings.glob).load(path)
         .select(F.col("_metadata.file_name").alias("source_file"))

@@ -7,6 +7,7 @@ path that the driver and all executors have mounted.
 
 from __future__ import annotations
 
+import os
 import sqlite3
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 ROWS_PER_SPLIT = 1_000_000
+#: A stored trade takes this many bytes at least; a file has no more ranges than its size allows.
+BYTES_PER_ROW = 12
 ROWS_PER_BATCH = 20_000
 FIELDS = ("symbol", "ts_raw", "price", "volume", "source_file", "read_error")
 ARROW_SCHEMA = pa.schema([(name, pa.string()) for name in FIELDS])
@@ -111,9 +114,10 @@ class SqliteReader(DataSourceReader):
             return [FileRange(path, None, None)]
         if low is None:
             return []
-        return [
-            FileRange(path, start, min(start + self.split - 1, high)) for start in range(low, high + 1, self.split)
-        ]
+        size = os.path.getsize(path.removeprefix("file://").removeprefix("file:"))
+        ranges = min(-(-(high - low + 1) // self.split), max(1, -(-size // (BYTES_PER_ROW * self.split))))
+        width = -(-(high - low + 1) // ranges)
+        return [FileRange(path, start, min(start + width - 1, high)) for start in range(low, high + 1, width)]
 
     def read(self, partition: FileRange) -> Iterator[pa.RecordBatch]:
         if not partition.path:

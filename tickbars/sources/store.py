@@ -33,7 +33,9 @@ class Table:
 
 ARCHIVE = Table("archive", schemas.TICKS, ("trade_date", "source_file"))
 INGESTED = Table("ingested", schemas.INGESTED, ("source_file",))
-REJECTS = Table("rejects", schemas.REJECTS, ("reject_date", "source_file"))
+REJECTS = Table("rejects", schemas.REJECTS, ("reject_date",))
+PROBLEMS = Table("ingest_problems", schemas.PROBLEMS, ("source_file",))
+STALE = Table("stale_days", schemas.PROBLEMS, ("trade_date",))
 CLEAN_STATS = Table("clean_stats", schemas.CLEAN_STATS)
 CANDLES = Table("candles_1m", schemas.CANDLES, key=schemas.CANDLE_KEY)
 DAY_STATUS = Table("day_status", schemas.DAY_STATUS, key=schemas.STATUS_KEY)
@@ -116,17 +118,32 @@ class Store:
             for row in emptied.collect():  # calendar-sized
                 delete_path(self.spark, f"{self.path(table)}/{day}={row.trade_date}")
 
-    def upsert(self, table: Table, updates: DataFrame, newest: Sequence[str] = ()) -> None:
+    def upsert(self, table: Table, updates: DataFrame, newest: Sequence[str] = (), stage: bool = True) -> None:
         """Insert or replace rows by key, rewriting the touched days only.
 
         Keys that occur twice in ``updates`` need ``newest``, the columns
-        whose greatest value wins.
+        whose greatest value wins; without it they are an error, and so is a
+        null in a key. ``stage=False`` is for updates that come straight from
+        a stored table. The merged rows are stored before a partition is
+        replaced, so a broken run loses no row.
         """
-        with self.staged(updates, table.schema) as new:
+        with self.staged(updates, table.schema) if stage else nullcontext(schemas.conform(updates, table.schema)) as new:
             if newest:
                 new = merge.last_per_key(new, table.key, newest)
+            merge.check_keys(new, table.key)
             current = self.read(table, new.select("trade_date"))
-            self.overwrite_partitions(table, merge.upsert(current, new, table.key))
+            with self.staged(merge.upsert(current, new, table.key), table.schema) as merged:
+                self.overwrite_partitions(table, merged)
+
+    def drop_partitions(self, table: Table, gone: DataFrame) -> None:
+        """Remove whole partitions; ``gone`` has their values, a few rows that the driver walks through."""
+        names = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        for row in gone.select(*table.partition).distinct().toLocalIterator():
+            parts = []
+            for column, value in zip(table.partition, row):
+                text = "__HIVE_DEFAULT_PARTITION__" if value is None else names.escapePathName(str(value))
+                parts.append(f"{column}={text}")
+            delete_path(self.spark, "/".join([self.path(table), *parts]))
 
     def partial_upsert(
         self,
@@ -138,10 +155,11 @@ class Store:
         """Upsert that changes only ``update_columns`` of rows already there."""
         given = T.StructType([f for f in table.schema.fields if f.name in updates.columns])
         with self.staged(updates, given) as new:
+            merge.check_keys(new, table.key)
             current = self.read(table, new.select("trade_date"))
-            self.overwrite_partitions(
-                table, merge.partial_upsert(current, new, table.key, update_columns, defaults)
-            )
+            merged = merge.partial_upsert(current, new, table.key, update_columns, defaults)
+            with self.staged(merged, table.schema) as whole:
+                self.overwrite_partitions(table, whole)
 
     @contextmanager
     def staged(self, rows: DataFrame, schema: T.StructType) -> Iterator[DataFrame]:
@@ -167,6 +185,11 @@ class Store:
             .csv(f"{self.root}/csv", header=True)
         )
 
+    def drop_candle_csvs(self, gone: DataFrame) -> None:
+        """Remove the CSVs of the given (symbol, trade_date)."""
+        folders = gone.select(F.col("symbol").alias("for_symbol"), F.col("trade_date").alias("for_date"))
+        self.drop_partitions(Table("csv", schemas.DATES, ("for_symbol", "for_date")), folders)
+
     def read_candle_csvs(self) -> DataFrame:
         ddl = {f.name: f.dataType.simpleString() for f in schemas.CANDLES.fields}
         schema = ", ".join(f"{c} {ddl[c]}" for c in CSV_COLUMNS)

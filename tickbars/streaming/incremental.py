@@ -7,17 +7,18 @@ backfill. The stream's checkpoint remembers which files were taken.
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Sequence
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickbars.operators import status, ticks
 from tickbars.plans.jobs import archive, archived_dates, process_days, run_timestamp
-from tickbars.schemas import FILES
+from tickbars.schemas import FILES, PROBLEMS
 from tickbars.settings import Settings
 from tickbars.sources import store as tables
-from tickbars.sources.files import csv_schema, landed_files, map_columns, read_sqlite_ticks
+from tickbars.sources.files import csv_schema, landed_files, map_columns, read_problems, read_sqlite_ticks
 from tickbars.sources.paths import make_dir
 from tickbars.sources.store import Store
 
@@ -28,7 +29,8 @@ BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content B
 def _landing_stream(
     spark: SparkSession, landing: str, settings: Settings, columns: tuple[str, ...] | None, files_per_batch: int | None
 ) -> DataFrame:
-    reader = spark.readStream.option("pathGlobFilter", settings.glob)
+    # Files may come late with an old modification time; none is too old.
+    reader = spark.readStream.option("pathGlobFilter", settings.glob).option("maxFileAge", "36500d")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if settings.source_format == "sqlite":
@@ -44,11 +46,14 @@ def _landing_stream(
     )
 
 
-def _raw_ticks(spark: SparkSession, batch: DataFrame, settings: Settings) -> DataFrame:
+def _raw_ticks(spark: SparkSession, batch: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(ticks, problems, files) of a batch."""
     if settings.source_format == "csv":
-        return map_columns(batch, settings)
+        raw = map_columns(batch, settings)
+        return raw, spark.createDataFrame([], PROBLEMS), raw.select("source_file").distinct()
     paths = [row.path for row in batch.collect()]  # names of the new files
-    return read_sqlite_ticks(spark, paths, settings)
+    names = batch.select(F.element_at(F.split("path", "/"), -1).alias("source_file")).distinct()
+    return read_sqlite_ticks(spark, paths, settings), read_problems(spark, paths, settings), names
 
 
 def incremental_update(
@@ -63,24 +68,30 @@ def incremental_update(
     csv: bool = True,
     csv_columns: tuple[str, ...] | None = None,
     files_per_batch: int | None = None,
+    target_dates: Sequence[date] | None = None,
+    expected: DataFrame | None = None,
 ) -> None:
     """Take in the files that are new since the last call, then stop.
 
     ``csv_columns`` is the header of the CSV files if it is not the default
-    order of symbol, time, price, volume.
+    order of symbol, time, price, volume. With ``target_dates`` only these
+    days are worked out; the others stay pending. Of ``expected`` days those
+    that brought nothing are recorded (see ``record_absent_days``).
     """
     make_dir(spark, landing)
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        raw = _raw_ticks(batch.sparkSession, batch, settings)
-        with store.staged(raw.select("source_file").distinct(), FILES) as files:
-            archive(store, ticks.normalise_ticks(raw, settings), settings, files)
+        raw, problems, names = _raw_ticks(batch.sparkSession, batch, settings)
+        with store.staged(names, FILES) as files:
+            emptied = archive(store, ticks.normalise_ticks(raw, settings), settings, files, problems)
             touched = store.read(tables.INGESTED, files)
-            in_range = archived_dates(store)
+            in_range = archived_dates(store, settings)
             done = store.read(tables.VALIDATION).select("trade_date")
             # A later file can widen the range, so days not done yet count too.
             pending = in_range.join(done, "trade_date", "left_anti")
-            dates = in_range.join(touched, "trade_date", "left_semi").unionByName(pending)
+            dates = in_range.join(touched, "trade_date", "left_semi").unionByName(pending).unionByName(emptied)
+            if target_dates:
+                dates = dates.filter(F.col("trade_date").isin(*target_dates))
             process_days(store, settings, dates, replication_mode, write_mode, built_at, csv)
 
     query = (
@@ -91,6 +102,8 @@ def incremental_update(
         .start()
     )
     query.awaitTermination()
+    if expected is not None:
+        record_absent_days(spark, landing, store, expected, settings, built_at)
 
 
 def record_absent_days(
