@@ -1,5 +1,6 @@
 import random
 from dataclasses import replace
+from datetime import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from test_ticks import random_trades
 from tickbars import Limits, Settings
 from tickbars.operators import bars, shaping, ticks
 from tickbars.schemas import TICKS
+from tickbars.settings import Hours, SessionRules
 
 SETTINGS = Settings()
 
@@ -163,3 +165,17 @@ def test_daily_bars_consult_the_status(spark):
     assert rows(shaping.gated_daily_bars(candles, known), "symbol", "trade_date", "open", "close", "minutes_count") == [
         ("A", day("2026-06-15"), 1.0, 2.0, 2), ("A", day("2026-06-17"), 5.0, 5.0, 1)
     ]
+
+
+def test_the_local_hour_that_comes_twice_keeps_its_bars(spark):
+    own = Settings(timezone="America/New_York", session=SessionRules(regular=Hours(time(0, 0), time(3, 0)), weekdays=tuple(range(7)), friday=()))
+    minutes = [("S", "2026-11-01T05:30:00", 1, 5), ("S", "2026-11-01T06:30:00", 2, 7)]  # both 01:30 local
+    candles = bars.candles_1m(make_ticks(spark, minutes, own), own)
+    assert rows(bars.rollup(candles, 5, own), "ts", "close", "volume") == [
+        (at("2026-11-01T05:30:00"), 1.0, 5),
+        (at("2026-11-01T06:30:00"), 2.0, 7),
+    ]
+    filled = shaping.flat_fill(candles, own)
+    assert rows(filled.filter("had_trade"), "ts", "close") == [(at("2026-11-01T05:30:00"), 1.0), (at("2026-11-01T06:30:00"), 2.0)]
+    assert filled.agg({"volume": "sum"}).first()[0] == 12
+    assert filled.filter("NOT had_trade AND ts > timestamp_ntz '2026-11-01 06:30:00'").first().close == 2.0

@@ -1,3 +1,4 @@
+import os
 from dataclasses import replace
 from datetime import datetime, timedelta
 
@@ -186,3 +187,32 @@ def test_absent_days_are_recorded(spark, landing, tmp_path):
     assert rows(store.read(tables.DAY_STATUS).filter(F.col("symbol") == "*"), "trade_date", "reason") == [
         (day("2026-06-16"), "ingest_failed"), (day("2026-06-17"), "scrape_failed")
     ]
+
+
+def test_what_a_shorter_file_no_longer_has_goes(spark, landing, tmp_path):
+    write_csv(landing / "t_20260616.csv", minutes("2026-06-15", 5) + minutes("2026-06-16", 4) + ["S,bad,1,1"])
+    store, _ = run(spark, landing, tmp_path / "store", csv=True)
+    assert store.read(tables.REJECTS).count() == 1
+    write_csv(landing / "t_20260616.csv", minutes("2026-06-16", 4))
+    run(spark, landing, tmp_path / "store", csv=True)
+    assert rows(store.read(tables.CANDLES).groupBy("trade_date").count(), "trade_date", "count") == [(day("2026-06-16"), 4)]
+    assert store.read(tables.REJECTS).count() == 0 and store.read_candle_csvs().count() == 4
+    assert rows(store.read(tables.INGESTED), "trade_date") == [(day("2026-06-16"),)]
+
+
+def test_a_late_file_with_an_old_time_is_taken(spark, landing, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    for k, name in enumerate(("2026-06-15", "2026-06-16")):
+        path = landing / f"t_{name.replace('-', '')}.csv"
+        write_csv(path, minutes(name, 5))
+        if k:
+            old = path.stat().st_mtime - 10 * 86_400
+            os.utime(path, (old, old))
+        incremental_update(spark, str(landing), store, str(tmp_path / "progress"), SETTINGS, built_at=BUILT, csv=False)
+    assert store.read(tables.CANDLES).count() == 10
+
+
+def test_symbol_files_are_no_copies(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    with pytest.raises(ValueError, match="one symbol"):
+        process_days(store, replace(SETTINGS, file_layout="one_per_symbol"), calendar.holidays(spark, []), "audit")

@@ -2,9 +2,11 @@
 
 import pytest
 
-import __spark_entry__ as entry_point
 from compare import difference, duck
 from conftest import SF_DIR
+from tickbars.registry.oracle import ORACLE
+from tickbars.registry.queries import QUERIES
+import __spark_entry__ as entry_point
 
 
 @pytest.fixture(scope="module")
@@ -15,13 +17,14 @@ def database():
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, database, name):
-    frame = entry_point.queries()[name](spark, SF_DIR)
-    assert difference(frame, database, entry_point.oracle_sql()[name]) is None
+    frame = QUERIES[name](spark, SF_DIR)
+    assert difference(frame, database, ORACLE[name]) is None
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import at, day, rows
 from tickbars import Settings, SourceColumns
 from tickbars.operators import ticks
-from tickbars.sources.files import landed_files, read_csv_ticks, read_raw_ticks, read_sqlite_ticks, sqlite_read_errors
+from tickbars.sources.files import landed_files, read_csv_ticks, read_problems, read_raw_ticks, read_sqlite_ticks, sqlite_read_errors
 from tickbars.sources.paths import scratch_dir
 from tickbars.sources.sqlite import SqliteReader
 
@@ -135,3 +135,30 @@ def test_merged_sources_keep_every_row(spark, tmp_path):
     )
     assert merged.count() == 2 and ticks.dedup_ticks(merged).count() == 1
     assert merged.select(F.count_distinct("source_file")).first()[0] == 2
+
+
+def test_a_broken_sqlite_file_is_left_out_whole(spark, tmp_path):
+    write_db(tmp_path / "bad_20260618.db", [("S", "2026-06-18 05:00:00", float(i), i) for i in range(60_000)])
+    write_db(tmp_path / "good_20260618.db", [("S", "2026-06-18 05:00:00", 1.0, 1)])
+    path = tmp_path / "bad_20260618.db"
+    data = bytearray(path.read_bytes())
+    middle = len(data) * 6 // 10 // 4096 * 4096
+    data[middle : middle + 3 * 4096] = b"\xff" * (3 * 4096)
+    path.write_bytes(data)
+    assert rows(read_sqlite_ticks(spark, str(tmp_path), SQLITE), "source_file") == [("good_20260618.db",)]
+    problems = read_problems(spark, str(tmp_path), SQLITE).collect()
+    assert [(r.source_file, r.trade_date) for r in problems] == [("bad_20260618.db", day("2026-06-18"))] and problems[0].problem
+
+
+def test_far_row_ids_do_not_flood_the_driver(tmp_path):
+    path = tmp_path / "wide.db"
+    write_db(path, [])
+    with sqlite3.connect(path) as db:
+        db.execute("INSERT INTO intraday_data (rowid, symbol) VALUES (1, 'A'), (1000000000000, 'B')")
+    db.close()
+    ranges = SqliteReader({"path": str(path)}).partitions()
+    assert len(ranges) == 1 and (ranges[0].first_row, ranges[0].last_row) == (1, 10**12)
+
+
+def test_landed_files_of_an_absent_folder(spark, tmp_path):
+    assert landed_files(spark, str(tmp_path / "none"), CSV).count() == 0

@@ -119,3 +119,21 @@ def test_conform_orders_casts_and_adds(spark):
     frame = spark.createDataFrame([(1, "A")], "minutes_count INT, symbol STRING")
     out = schemas.conform(frame, schemas.DAY_STATUS)
     assert out.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.DAY_STATUS.fields]
+
+
+def test_null_and_repeated_keys_are_refused(spark, store):
+    twice = candles(spark, ("A", "2026-06-17T05:00:00", 1.0), ("A", "2026-06-17T05:00:00", 2.0))
+    with pytest.raises(ValueError, match="repeated keys"):
+        store.upsert(tables.CANDLES, twice)
+    store.upsert(tables.CANDLES, twice, newest=["close"])
+    assert rows(store.read(tables.CANDLES), "close") == [(2.0,)]
+    with pytest.raises(ValueError, match="null"):
+        store.upsert(tables.CANDLES, candles(spark, (None, "2026-06-17T05:00:00", 1.0)))
+
+
+def test_partitions_with_odd_names_can_be_dropped(spark, store):
+    frame = make_ticks(spark, [("S", "2026-06-18T05:00:00", 1, 1, "a=1 %.csv"), (None, None, None, None, "a=1 %.csv"), ("S", "2026-06-18T05:00:00", 2, 1, "b")])
+    store.archive(frame)
+    gone = frame.filter("source_file <> 'b'").select("trade_date", "source_file")
+    store.drop_partitions(tables.ARCHIVE, gone)
+    assert rows(store.read(tables.ARCHIVE), "source_file") == [("b",)]

@@ -257,6 +257,10 @@ SELECT symbol, ts_utc, ts_local, trade_date, price, volume,
        CASE WHEN source_file = 'A' THEN 'ticks_20240110.csv' ELSE 'ticks_20240118.csv' END AS source_file
 FROM ticks WHERE trade_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-19'"""),
     "archive_roundtrip": TICKS,
+    "archive_replace": _stored(f"SELECT {TICK_COLUMNS} FROM ticks WHERE source_file = 'B' OR day(trade_date) <= 15"),
+    "stale_days": _stored("""
+SELECT trade_date, count(*) AS n_rows FROM ticks
+WHERE trade_date NOT BETWEEN DATE '2024-01-03' AND DATE '2024-01-19' GROUP BY trade_date"""),
     "drop_invalid": _stored(f"SELECT {TICK_COLUMNS} FROM valid"),
     "rejected_ticks": _stored(f"""
 SELECT {TICK_COLUMNS},
@@ -300,6 +304,16 @@ LEFT JOIN (SELECT trade_date, count(*) AS n_session, count(*) FILTER (WHERE {_mo
     "candles_1m": _stored(f"SELECT {CANDLE_COLUMNS} FROM candles"),
     "bars_5m": _rollup(5),
     "bars_15m": _rollup(15),
+    "bars_5m_dst": """
+WITH moved AS (
+  SELECT *, CASE WHEN ts_utc < TIMESTAMP '2024-11-03 06:00:00' THEN INTERVAL 4 HOUR ELSE INTERVAL 5 HOUR END AS behind
+  FROM (SELECT event_type AS symbol, ts + INTERVAL 300 DAY AS ts_utc, value AS price,
+               CAST(json_extract(props, '$.k') AS BIGINT) AS volume FROM events))
+SELECT symbol, trade_date, bucket AS ts, arg_min(price, row(ts_utc, price, volume)) AS open, max(price) AS high,
+       min(price) AS low, arg_max(price, row(ts_utc, price, volume)) AS close, CAST(sum(volume) AS BIGINT) AS volume
+FROM (SELECT *, CAST(ts_utc - behind AS DATE) AS trade_date,
+             date_trunc('minute', ts_utc) - to_minutes(minute(ts_utc - behind) % 5) AS bucket FROM moved)
+GROUP BY symbol, trade_date, bucket""",
     "daily_bars": _stored("SELECT *, 'COMPLETE' AS status FROM daily"),
     "flat_fill": _stored("""
 , windows AS (
@@ -398,6 +412,10 @@ SELECT '*' AS symbol, trade_date, 'MISSING' AS status,
        CAST(NULL AS TIMESTAMP) AS first_ts, CAST(NULL AS TIMESTAMP) AS last_ts,
        TIMESTAMP '2024-02-01 00:00:00' AS built_at
 FROM expected WHERE trade_date NOT IN (SELECT trade_date FROM stats WHERE day(trade_date) % 3 = 0)"""),
+    "upsert_last_wins": _stored("""
+SELECT symbol, trade_date, ts, minute_local, open, high, low, close,
+       volume + CASE WHEN minute(ts) % 2 = 0 THEN 1 ELSE 0 END AS volume, had_trade, spike_flag
+FROM checked"""),
     "upsert_candles": _stored(f"""
 SELECT symbol, trade_date, ts, minute_local, open, high, low, close,
        CASE WHEN day(trade_date) < 8 THEN volume + 1 ELSE volume END AS volume, had_trade, spike_flag

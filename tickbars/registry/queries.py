@@ -14,7 +14,7 @@ from tickbars import schemas
 from tickbars.functions.fields import file_date
 from tickbars.functions.timestamps import EPOCH, parse_timestamp, to_local
 from tickbars.operators import bars, calendar, quality, replication, reports, shaping, status, ticks
-from tickbars.plans.jobs import backfill
+from tickbars.plans.jobs import archive, backfill
 from tickbars.registry import feed
 from tickbars.registry.feed import OVERRIDES, SETTINGS
 from tickbars.settings import SourceColumns
@@ -274,6 +274,24 @@ def date_window(spark, sf):
     return ticks.within_file_dates(dated, dated)
 
 
+@query
+def stale_days(spark, sf):
+    """The days that ``date_window`` drops, with their rows."""
+    named = F.when(F.col("source_file") == "A", "ticks_20240110.csv").otherwise("ticks_20240118.csv")
+    dated = feed.tick_feed(spark, sf).withColumn("source_file", named)
+    outside = ticks.outside_file_dates(ticks.ticks_for_dates(dated), dated)
+    return outside.groupBy("trade_date").agg(F.count("*").alias("n_rows"))
+
+
+@query
+def archive_replace(spark, sf):
+    """File A lands, and lands again with fewer days; file B stays as it is."""
+    store, ticks_ = _store(spark, "replace"), feed.tick_feed(spark, sf)
+    archive(store, ticks_, SETTINGS)
+    archive(store, ticks_.filter("source_file = 'A' AND day(trade_date) <= 15"), SETTINGS)
+    return store.read(tables.ARCHIVE)
+
+
 @query
 def archive_roundtrip(spark, sf):
     store = _store(spark, "archive")
@@ -344,6 +362,19 @@ def bars_15m(spark, sf):
     return bars.rollup(feed.candle_feed(spark, sf), 15, SETTINGS)
 
 
+@query
+def bars_5m_dst(spark, sf):
+    """Bars around the night the clocks of New York go back; the local hour from one comes twice."""
+    own = replace(SETTINGS, timezone="America/New_York")
+    moved = feed.events(spark, sf).select(
+        F.col("event_type").alias("symbol"),
+        (F.col("ts") + F.expr("INTERVAL 300 DAYS")).alias("ts_utc"),
+        F.col("value").alias("price"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("volume"),
+    )
+    return bars.rollup(bars.candles_1m(ticks.with_local_time(moved, own), own), 5, own)
+
+
 @query
 def daily_bars(spark, sf):
     day = Day(spark, sf)
@@ -516,6 +547,15 @@ def _bars_with_flag(spark: SparkSession, sf: str) -> DataFrame:
     return saved(quality.flag_candle_spikes(feed.candle_feed(spark, sf), SETTINGS), "bars")
 
 
+@query
+def upsert_last_wins(spark, sf):
+    """A batch with two rows per key of even minutes; that with the larger volume stays."""
+    store, candles = _store(spark, "last_wins"), _bars_with_flag(spark, sf)
+    again = candles.filter(F.minute("ts") % 2 == 0).withColumn("volume", F.col("volume") + 1)
+    store.upsert(tables.CANDLES, candles.unionByName(again), newest=["volume"])
+    return store.read(tables.CANDLES)
+
+
 @query
 def upsert_candles(spark, sf):
     """Later bars of days from the 8th on over stored bars up to the 20th."""
