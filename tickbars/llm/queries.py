@@ -17,12 +17,14 @@ from tickbars.llm.html_text import extract
 from tickbars.llm.language import identify, train
 from tickbars.llm.line_dedup import dedup_lines
 from tickbars.llm.near_dedup import NearDedup, near_components
+from tickbars.llm.oracle import ORACLE
 from tickbars.llm.repeats import remove_repeats
 from tickbars.llm.warc import read_archives, write_archives
 from tickbars.sources.paths import scratch_dir
 
+__all__ = ["ORACLE", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(fn):
