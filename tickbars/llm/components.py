@@ -17,7 +17,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     ordered = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     star, before = saved(ordered, "edges"), None
-    while True:
+    while not star.isEmpty():
         both = star.union(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "u").where("v > u")
         large = large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()

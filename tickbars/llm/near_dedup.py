@@ -329,7 +329,15 @@ def near_components(docs: DataFrame, spec: NearDedup = NearDedup()) -> DataFrame
     full = _full_sets(candidates, spec)
     full = saved(full.join(classes.select("key", "node"), ["key", "node"], "left_semi").dropDuplicates(["key", "node"]).drop("key"), "sets")
 
-    links, labels, tried = None, None, None
+    links, labels, tried = full.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0), None, None
+
+    def linked(found: DataFrame) -> None:
+        nonlocal links, labels
+        found = saved(found, "links")
+        if labels is None or not found.isEmpty():
+            links = links.union(found)
+            labels = saved(components(links), "labels")
+
     for hub in (F.min("node"), F.max_by("node", F.xxhash64("node"))):
         at = _labelled(members, labels)
         hubs = at.groupBy("bucket").agg(hub.alias("hub"), F.min("component").alias("x"), F.max("component").alias("y"))
@@ -337,28 +345,22 @@ def near_components(docs: DataFrame, spec: NearDedup = NearDedup()) -> DataFrame
         pairs = at.join(hubs, "bucket").where("component <> h")
         near = saved(_near(_untried(pairs, tried), classes, spec), "near")
         tried = near if tried is None else tried.union(near)
-        found = saved(_confirmed(near, full, spec.percent), "links")
-        links = found if links is None else links.union(found)
-        if labels is None or not found.isEmpty():
-            labels = saved(components(links), "labels")
+        linked(_confirmed(near, full, spec.percent))
     # Nodes still apart from others of a bucket, by family: the hub they share most buckets with.
-    at = _apart(_labelled(members, labels))
-    shares = at.join(at.groupBy("bucket").agg(F.min("node").alias("hub")), "bucket").groupBy("node", "hub").agg(F.count("*").alias("n"))
-    families = saved(shares.groupBy("node").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("family")), "families")
-    at = _apart(_labelled(families.select(F.col("family").alias("bucket"), "node"), labels))
-    few, many = at.where(F.col("n") <= spec.small), at.where(F.col("n") > spec.small)
-    near = saved(_near(_untried(_pairs(few), tried), classes, spec), "near")
-    found = saved(_confirmed(near, full, spec.percent).union(_dense_links(_blocked(many, spec), full, spec)), "links")
-    links, labels = links.union(found), saved(components(links.union(found)), "labels")
-    # What is left are pairs of different families.
-    at = _labelled(members, labels).join(families.hint("merge"), "node")
-    at = saved(_apart(at, "family"), "apart")
-    few, many = at.where(F.col("n") <= spec.small), at.where(F.col("n") > spec.small)
-    sparse, dense = _large_buckets(many, classes, spec)
-    near = _near(_untried(_pairs(few, "family"), tried), classes, spec).union(_untried(sparse, tried)).distinct()
-    found = saved(_confirmed(near, full, spec.percent).union(_dense_links(dense, full, spec)), "links")
-    if not found.isEmpty():
-        labels = saved(components(links.union(found)), "labels")
+    at = saved(_apart(_labelled(members, labels)), "apart")
+    if not at.isEmpty():
+        shares = at.join(at.groupBy("bucket").agg(F.min("node").alias("hub")), "bucket").groupBy("node", "hub").agg(F.count("*").alias("n"))
+        families = saved(shares.groupBy("node").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("family")), "families")
+        at = _apart(_labelled(families.select(F.col("family").alias("bucket"), "node"), labels))
+        few, many = at.where(F.col("n") <= spec.small), at.where(F.col("n") > spec.small)
+        near = _near(_untried(_pairs(few), tried), classes, spec)
+        linked(_confirmed(near, full, spec.percent).union(_dense_links(_blocked(many, spec), full, spec)))
+        # What is left are pairs of different families.
+        at = saved(_apart(_labelled(members, labels).join(families.hint("merge"), "node"), "family"), "apart")
+        few, many = at.where(F.col("n") <= spec.small), at.where(F.col("n") > spec.small)
+        sparse, dense = _large_buckets(many, classes, spec)
+        near = _near(_untried(_pairs(few, "family"), tried), classes, spec).union(_untried(sparse, tried)).distinct()
+        linked(_confirmed(near, full, spec.percent).union(_dense_links(dense, full, spec)))
 
     known = classes.select("key", "node").join(labels, "node", "left")
     known = known.select("key", F.coalesce("component", "node").alias("component"))
