@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tickbars.sources.paths import saved
 
 
+def _content(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): every node of ``edges`` (a, b) with the smallest node it reaches.
 
@@ -16,15 +20,16 @@ def components(edges: DataFrame) -> DataFrame:
     written before the next reads it. Ends when the edges form stars.
     """
     ordered = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    star, before = saved(ordered, "edges"), None
-    while not star.isEmpty():
+    star = saved(ordered, "edges")
+    before = _content(star)
+    while before[0]:
         both = star.union(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "u").where("v > u")
         large = large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
         small = small.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         star = saved(small, "edges")
-        now = star.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        now = _content(star)
         if now == before:
             break
         before = now
