@@ -212,6 +212,25 @@ def test_a_late_file_with_an_old_time_is_taken(spark, landing, tmp_path):
     assert store.read(tables.CANDLES).count() == 10
 
 
+def test_days_left_out_by_target_dates_stay_pending(spark, landing, tmp_path):
+    store, again = Store(spark, str(tmp_path / "store")), tmp_path / "again"
+    arguments = {"csv": False, "built_at": BUILT}
+    write_csv(landing / "t_20260616.csv", minutes("2026-06-15", 5) + minutes("2026-06-16", 4))
+    write_csv(landing / "t_20260617.csv", minutes("2026-06-17", 4))
+    incremental_update(spark, str(landing), store, str(tmp_path / "progress"), SETTINGS, **arguments)
+    again.mkdir()
+    write_csv(again / "t_20260616.csv", minutes("2026-06-16", 4))  # a done day loses its ticks
+    write_csv(again / "u_20260617.csv", minutes("2026-06-17", 7))  # another one gets more
+    arguments |= {"checkpoint": str(tmp_path / "again-progress"), "settings": SETTINGS}
+    incremental_update(spark, str(again), store, target_dates=[day("2026-06-16")], **arguments)
+    counts = store.read(tables.CANDLES).groupBy("trade_date").count()
+    assert rows(counts, "trade_date", "count") == [(day("2026-06-15"), 5), (day("2026-06-16"), 4), (day("2026-06-17"), 4)]
+    incremental_update(spark, str(again), store, **arguments)  # no new file
+    counts = store.read(tables.CANDLES).groupBy("trade_date").count()
+    assert rows(counts, "trade_date", "count") == [(day("2026-06-16"), 4), (day("2026-06-17"), 7)]
+    assert store.read(tables.PENDING).count() == 0
+
+
 def test_symbol_files_are_no_copies(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     with pytest.raises(ValueError, match="one symbol"):

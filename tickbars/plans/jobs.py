@@ -136,6 +136,7 @@ def process_days(
                         stored = store.read(tables.CANDLES, days).select("symbol", "trade_date").distinct()
                         store.drop_candle_csvs(before.join(stored, ["symbol", "trade_date"], "left_anti"))
                         store.write_candle_csvs(loadable)
+        store.drop_partitions(tables.PENDING, store.read(tables.PENDING).join(days, "trade_date", "left_semi"))
 
 
 def _write_candles(

@@ -76,6 +76,8 @@ QUARANTINE = _schema(
 
 DATES = _schema("trade_date DATE")
 
+PENDING_DAYS = _schema("trade_date DATE, emptied BOOLEAN")
+
 DAY_SYMBOLS = _schema("symbol STRING, trade_date DATE")
 
 FILES = _schema("source_file STRING")

@@ -36,6 +36,7 @@ INGESTED = Table("ingested", schemas.INGESTED, ("source_file",))
 REJECTS = Table("rejects", schemas.REJECTS, ("reject_date",))
 PROBLEMS = Table("ingest_problems", schemas.PROBLEMS, ("source_file",))
 STALE = Table("stale_days", schemas.PROBLEMS, ("trade_date",))
+PENDING = Table("pending_days", schemas.PENDING_DAYS)
 CLEAN_STATS = Table("clean_stats", schemas.CLEAN_STATS)
 CANDLES = Table("candles_1m", schemas.CANDLES, key=schemas.CANDLE_KEY)
 DAY_STATUS = Table("day_status", schemas.DAY_STATUS, key=schemas.STATUS_KEY)

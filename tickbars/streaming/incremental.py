@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tickbars.operators import status, ticks
 from tickbars.plans.jobs import archive, archived_dates, process_days, run_timestamp
-from tickbars.schemas import FILES, PROBLEMS
+from tickbars.schemas import FILES, PENDING_DAYS, PROBLEMS
 from tickbars.settings import Settings
 from tickbars.sources import store as tables
 from tickbars.sources.files import csv_schema, landed_files, map_columns, read_problems, read_sqlite_ticks
@@ -75,24 +75,30 @@ def incremental_update(
 
     ``csv_columns`` is the header of the CSV files if it is not the default
     order of symbol, time, price, volume. With ``target_dates`` only these
-    days are worked out; the others stay pending. Of ``expected`` days those
+    days are worked out; the others stay pending for later calls, also without
+    new files, and also if they were worked out before. Of ``expected`` days those
     that brought nothing are recorded (see ``record_absent_days``).
     """
     make_dir(spark, landing)
 
+    def due() -> DataFrame:
+        in_range, noted = archived_dates(store, settings), store.read(tables.PENDING)
+        done = store.read(tables.VALIDATION).select("trade_date")
+        # A later file can widen the range, so days not done yet count too.
+        pending = in_range.join(done, "trade_date", "left_anti")
+        emptied = noted.where("emptied").select("trade_date")
+        dates = in_range.join(noted, "trade_date", "left_semi").unionByName(pending).unionByName(emptied)
+        return dates.filter(F.col("trade_date").isin(*target_dates)) if target_dates else dates
+
+    def work_out(dates: DataFrame) -> None:
+        process_days(store, settings, dates, replication_mode, write_mode, built_at, csv)
+
     def take(batch: DataFrame, batch_id: int) -> None:
         raw, problems, names = _raw_ticks(batch.sparkSession, batch, settings)
         with store.staged(names, FILES) as files:
             emptied = archive(store, ticks.normalise_ticks(raw, settings), settings, files, problems)
-            touched = store.read(tables.INGESTED, files)
-            in_range = archived_dates(store, settings)
-            done = store.read(tables.VALIDATION).select("trade_date")
-            # A later file can widen the range, so days not done yet count too.
-            pending = in_range.join(done, "trade_date", "left_anti")
-            dates = in_range.join(touched, "trade_date", "left_semi").unionByName(pending).unionByName(emptied)
-            if target_dates:
-                dates = dates.filter(F.col("trade_date").isin(*target_dates))
-            process_days(store, settings, dates, replication_mode, write_mode, built_at, csv)
+            note_days(store, store.read(tables.INGESTED, files), emptied)
+            work_out(due())
 
     query = (
         _landing_stream(spark, landing, settings, csv_columns, files_per_batch)
@@ -102,10 +108,22 @@ def incremental_update(
         .start()
     )
     query.awaitTermination()
+    # Without new files there is no batch, but days that an earlier call left may be wanted now.
+    left = due()
+    if not left.isEmpty():
+        work_out(left)
     if expected is not None:
         record_absent_days(spark, landing, store, expected, settings, built_at)
 
 
+def note_days(store: Store, touched: DataFrame, emptied: DataFrame) -> None:
+    """Add days to PENDING, where they stay until ``process_days`` is through with them."""
+    new = touched.where("trade_date IS NOT NULL").select("trade_date", F.lit(False).alias("emptied"))
+    new = new.unionByName(emptied.select("trade_date", F.lit(True).alias("emptied"))).unionByName(store.read(tables.PENDING))
+    with store.staged(new.groupBy("trade_date").agg(F.max("emptied").alias("emptied")), PENDING_DAYS) as days:
+        store.overwrite_partitions(tables.PENDING, days)
+
+
 def record_absent_days(
     spark: SparkSession,
     landing: str,
