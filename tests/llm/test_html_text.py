@@ -31,6 +31,22 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<head><title>x</title><meta charset=utf-8><style>p {{}}</style><body><article>{LONG}</article>", LONG),
+        (f"<html><head><title>x</title><script>1</script></head><body><article>{LONG}</article>", LONG),
+        *[(f"<article><p>{LONG}</p><{name}><p>{MORE}</p></article>", f"{LONG}\n\n{MORE}") for name in ("button", "object", "canvas", "noscript", "video", "svg", "iframe")],
+        (f"<article><p>{LONG}</p><button><p>{MORE}</p><button>Send</button></article>", f"{LONG}\n\n{MORE}"),
+        (f"<article><p>{LONG}</p><svg/><p>{MORE}</p><svg><text>no</text></svg></article>", f"{LONG}\n\n{MORE}"),
+        (f"<article><p>{LONG}</p><object>a<object>b</object>c<!-- <object> --></object></article>", LONG),
+        (f"<article><p>{LONG}</p><style><p>{MORE}</p></article>", LONG),
+    ],
+)
+def test_elements_without_an_end_tag_cut_nothing_off(page, text):
+    assert main_text(page) == text
+
+
 def test_inline_tags_do_not_split_words():
     assert main_text("<article>wo<b>r</b>d <i>x</i></article>") == "word x"
 

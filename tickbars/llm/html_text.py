@@ -31,7 +31,8 @@ WORD = re.compile(r"[^\W\d_]+")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 #: Elements of HTML by their role.
-RAW = frozenset("script style textarea title noscript template iframe svg math select button object audio video canvas head xmp noframes".split())
+RAW = frozenset("script style textarea title iframe xmp noframes".split())
+SKIPPED = frozenset("noscript template svg math select button object audio video canvas".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -117,6 +118,33 @@ def _is_article(name: str, attributes: dict[str, str]) -> bool:
     return False
 
 
+def _raw_end(page: str, at: int, name: str, endless: set[str]) -> int:
+    """Where the raw text of an element ends; without an end tag only the tag counts, but for scripts and styles."""
+    if name not in endless:
+        end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
+        if end:
+            return end.end()
+        endless.add(name)  # nor is there one further on
+    return len(page) if name in ("script", "style") else at
+
+
+def _skipped(page: str) -> dict[int, int]:
+    """Start of each element of SKIPPED that has an end tag of its own, to the end of that tag."""
+    out: dict[int, int] = {}
+    opened: dict[str, list[int]] = {name: [] for name in SKIPPED}
+    at, endless = 0, set()
+    while found := TOKEN.search(page, at):
+        at = found.end()
+        name = (found[2] or "").lower()
+        if found[1] and opened.get(name):
+            out[opened[name].pop()] = at
+        elif not found[1] and name in RAW:
+            at = _raw_end(page, at, name, endless)
+        elif not found[1] and name in SKIPPED and not (name in ("svg", "math") and found[3].endswith("/")):
+            opened[name].append(found.start())
+    return out
+
+
 def blocks(page: str) -> list[_Block]:
     """The blocks of a page in order, with the elements around them taken into account."""
     out: list[_Block] = []
@@ -152,6 +180,7 @@ def blocks(page: str) -> list[_Block]:
             breaks = 0
 
     at, size = 0, len(page)
+    endless, skipped = set(), None
     while at < size:
         found = TOKEN.search(page, at)
         if not found:
@@ -168,12 +197,17 @@ def blocks(page: str) -> list[_Block]:
             if k is not None:
                 pop(k)
             continue
-        if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
-            at = end.end() if end else size
+        if name in RAW or name in SKIPPED:
+            if name in RAW:
+                at = _raw_end(page, at, name, endless)
+            else:
+                skipped = _skipped(page) if skipped is None else skipped
+                at = skipped.get(found.start(), at)
             if name in ("select", "button", "textarea"):
                 words(" ")
             continue
+        if name == "head":  # its end tag may be left out, and what may stand in it has no text
+            continue
         if name == "br":
             words(" ")
             breaks += 1
