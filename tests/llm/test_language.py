@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR
+from tickbars.llm import language
 from tickbars.llm.buffers import text_bytes
 from tickbars.llm.language import LanguageSpec, _smoothed, identify, letters, train
 
@@ -67,6 +68,17 @@ def test_held_out_documents(spark):
     assert other[other["doc_id"] == -4]["lang_pred"].tolist() == ["en"]
 
 
+def test_copies_are_drawn_once(spark, monkeypatch):
+    texts = [(lang, f"{lang} text number {i}") for lang in ("de", "en") for i in range(40)]
+    copies = spark.range(3000).select(F.lit("en").alias("lang"), F.concat(F.lit("en text number "), F.col("id") % 10).alias("text"))
+    parts = []
+    counts, calibrate = language._counts, language._calibrate
+    monkeypatch.setattr(language, "_counts", lambda df, n: parts.append(df) or counts(df, n))
+    monkeypatch.setattr(language, "_calibrate", lambda model, df: parts.append(df) or calibrate(model, df))
+    train(spark.createDataFrame(texts, "lang string, text string").union(copies), LanguageSpec(order=2))
+    assert sorted((r.lang, r.text) for part in parts for r in part.collect()) == sorted(texts)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string")
     model = train(none)

@@ -7,8 +7,8 @@ backs off by the weight of its context. A text goes to the language with the
 lowest cross-entropy per character.
 
 Counts come from a bounded sample of labelled texts: about ``sample`` whole
-documents per language, drawn by hash. A fifth of them is kept from the counts
-to calibrate the score and the rejection.
+texts per language, drawn by hash; copies of a text are one. A fifth of them
+is kept from the counts to calibrate the score and the rejection.
 """
 
 from __future__ import annotations
@@ -207,13 +207,14 @@ def _smoothed(rows: list[tuple], languages: list[str], spec: LanguageSpec) -> La
 
 def train(labelled: DataFrame, spec: LanguageSpec = LanguageSpec()) -> LanguageModel:
     """A model from rows (lang, text); rows with a null language or text are left out."""
-    rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.pmod(F.xxhash64("text"), F.lit(1 << 20)).alias("draw"))
-    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.xxhash64("text").alias("h"))
+    # All copies of a text have one draw: they count as one text and are merged in the tasks.
+    sizes = {r.lang: r["count"] for r in rows.select("lang", "h").distinct().groupBy("lang").count().collect()}
     languages = sorted(sizes)
     share = F.lit(1 << 20)
     for lang, size in sizes.items():
         share = F.when(F.col("lang") == lang, int((1 << 20) * min(1.0, spec.sample / size))).otherwise(share)
-    drawn = rows.where(F.col("draw") < share)
+    drawn = rows.where(F.pmod("h", F.lit(1 << 20)) < share).groupBy("lang", "h").agg(F.min("text").alias("text"))
     held = F.pmod(F.xxhash64(F.lit("held"), "text"), F.lit(5)) == 0
     model = _smoothed(_counts(drawn.where(~held), spec.order), languages, spec)
     _calibrate(model, drawn.where(held))
