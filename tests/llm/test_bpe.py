@@ -25,6 +25,8 @@ def test_ids_of_the_library_and_round_trip(spark, chunk, overlap):
         ids = [int.from_bytes(r.ids[k : k + 4], "little") for k in range(0, len(r.ids), 4)]
         assert ids == library.encode_ordinary(r.text or "")
         assert bytes(r.decoded) == (r.text or "").encode()
+    both = encode(docs, bpe, decoded="decoded")
+    assert both.columns == found.columns and sorted(map(repr, both.collect())) == sorted(map(repr, rows))
     assert encode(docs.limit(0), bpe).count() == 0
 
 

@@ -9,6 +9,8 @@ scans share no boundary, both chunks stay one piece.
 
 ``ids`` are little-endian unsigned 32-bit integers in one binary value. A null
 text counts as empty. Other columns are carried along, whatever their names.
+Tasks work on slices of bounded size, so their memory does not depend on how
+many rows an Arrow batch has.
 """
 
 from __future__ import annotations
@@ -26,8 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from tickbars.llm.buffers import slices
+
 #: A boundary this close to the end of a chunk could still depend on what follows it.
 LOOKAHEAD = 4
+#: Bytes of text that a task works on at once.
+SLICE = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -79,51 +85,60 @@ def boundaries(text: str, start: int, low: int, high: int, pattern: str) -> list
     return found
 
 
-def _mapped(df: DataFrame, source: str, target: str, work: Callable) -> DataFrame:
-    """``df`` with a binary column ``target`` = work(value of ``source``), every other column as it is."""
-    order = [c for c in df.columns if c != target]
+def _mapped(df: DataFrame, source: str, **works: Callable) -> DataFrame:
+    """``df`` with binary columns, each the work of that name on ``source`` or, from the second on, on the one before."""
+    order = [c for c in df.columns if c not in works]
     plain = df.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(order)])
-    at = order.index(source)
+    at, steps = order.index(source), list(works.values())
+    names = [f"made_{i}" for i in range(len(steps))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = pa.array([work(x) for x in batch.column(at).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, "made"])
+        for batch in slices(batches, f"_{at}", SLICE):
+            values, made = batch.column(at).to_pylist(), []
+            for work in steps:
+                values = [work(x) for x in values]
+                made.append(pa.array(values, pa.binary()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *names])
+
+    out = plain.mapInArrow(run, StructType([*plain.schema.fields, *(StructField(n, BinaryType()) for n in names)]))
+    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(order)], *[F.col(n).alias(c) for n, c in zip(names, works)])
 
-    out = plain.mapInArrow(run, StructType([*plain.schema.fields, StructField("made", BinaryType())]))
-    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(order)], F.col("made").alias(target))
 
+def encode(docs: DataFrame, bpe: Bpe, column: str = "text", decoded: str | None = None) -> DataFrame:
+    """``docs`` with a column ``ids``; a column of that name is replaced.
 
-def encode(docs: DataFrame, bpe: Bpe, column: str = "text") -> DataFrame:
-    """``docs`` with a column ``ids``; a column of that name is replaced."""
+    ``decoded`` names a column for the bytes that the finished ids decode to,
+    made by the same tasks: a chain of two Python steps needs two processes.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(bpe.ranks)
     pattern, chunk, overlap = bpe.pattern, bpe.chunk, bpe.overlap
 
     def work(text):
         return encode_text(text, shared.value, pattern)
 
+    back = {decoded: lambda ids: decode_ids(ids, shared.value, pattern)} if decoded else {}
     size = F.coalesce(F.length(F.col(f"`{column}`")), F.lit(0))
-    short = _mapped(docs.where(size <= chunk), column, "ids", work)
+    short = _mapped(docs.where(size <= chunk), column, ids=work, **back)
     key = F.sha2(F.col(f"`{column}`").cast("binary"), 256)
     whole = docs.where(size > chunk).select(key.alias("key"), F.col(f"`{column}`").alias("text")).dropDuplicates(["key"])
-    encoded = _long_texts(whole, work, pattern, chunk, overlap)
-    keep = [c for c in docs.columns if c != "ids"]
+    encoded = _long_texts(whole, work, pattern, chunk, overlap, back)
+    keep = [c for c in docs.columns if c not in ("ids", decoded)]
     longer = docs.where(size > chunk).select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(keep)], key.alias("key"))
-    longer = longer.join(encoded, "key").select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], "ids")
+    longer = longer.join(encoded, "key").select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], "ids", *back)
     return short.unionByName(longer)
 
 
-def _long_texts(whole: DataFrame, work: Callable, pattern: str, chunk: int, overlap: int) -> DataFrame:
-    """(key, text) to (key, ids), the chunks and pieces of a text in parallel."""
+def _long_texts(whole: DataFrame, work: Callable, pattern: str, chunk: int, overlap: int, back: dict[str, Callable]) -> DataFrame:
+    """(key, text) to (key, ids) and what ``back`` makes of them, the chunks and pieces of a text in parallel."""
 
     def split(batches):
-        for batch in batches:
+        for batch in slices(batches, limit=SLICE):
             for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
                 rows = [(key, i, text[at : at + chunk + overlap], at + chunk + overlap >= len(text)) for i, at in enumerate(range(0, len(text), chunk))]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["key", "part", "text", "last"])
 
     def scan(batches):
-        for batch in batches:
+        for batch in slices(batches, limit=SLICE):
             parts, texts, lasts = (batch.column(c).to_pylist() for c in ("part", "text", "last"))
             heads, tails = [], []
             for part, text, last in zip(parts, texts, lasts):
@@ -135,7 +150,7 @@ def _long_texts(whole: DataFrame, work: Callable, pattern: str, chunk: int, over
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("part"), pa.array(heads, kind), pa.array(tails, kind)], names=names)
 
     def cut(batches):
-        for batch in batches:
+        for batch in slices(batches, limit=SLICE):
             for key, text, cuts in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "cuts"))):
                 edges = [0, *(cuts or []), len(text)]
                 rows = [(key, i, text[a:b]) for i, (a, b) in enumerate(zip(edges, edges[1:]))]
@@ -143,8 +158,10 @@ def _long_texts(whole: DataFrame, work: Callable, pattern: str, chunk: int, over
 
     def join(batches):
         for batch in batches:
-            made = [b"".join(x["ids"] for x in pieces) for pieces in batch.column("pieces").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(made, pa.binary())], names=["key", "ids"])
+            for k in range(batch.num_rows):  # one long text at a time
+                ids = b"".join(x["ids"] for x in batch.column("pieces")[k].as_py())
+                made = [ids, *(f(ids) for f in back.values())]
+                yield pa.RecordBatch.from_arrays([batch.column("key").slice(k, 1), *(pa.array([x], pa.binary()) for x in made)], names=["key", "ids", *back])
 
     chunks = whole.mapInArrow(split, "key string, part long, text string, last boolean").repartition("key", "part")
     scans = chunks.mapInArrow(scan, "key string, part long, head array<long>, tail array<long>")
@@ -152,13 +169,13 @@ def _long_texts(whole: DataFrame, work: Callable, pattern: str, chunk: int, over
     cuts = scans.join(after, ["key", "part"]).select("key", F.array_min(F.array_intersect("tail", "next")).alias("at"))
     cuts = cuts.groupBy("key").agg(F.array_sort(F.collect_set("at")).alias("cuts"))
     pieces = whole.join(cuts, "key", "left").mapInArrow(cut, "key string, part long, text string").repartition("key", "part")
-    made = _mapped(pieces, "text", "ids", work).drop("text")
+    made = _mapped(pieces, "text", ids=work).drop("text")
     made = made.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("part", "ids"))).alias("pieces"))
-    return made.mapInArrow(join, "key string, ids binary")
+    return made.mapInArrow(join, ", ".join(["key string", "ids binary", *(f"`{c}` binary" for c in back)]))
 
 
 def decode(encoded: DataFrame, bpe: Bpe, target: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes of its ``ids`` in a binary column ``target``."""
     shared = encoded.sparkSession.sparkContext.broadcast(bpe.ranks)
     pattern = bpe.pattern
-    return _mapped(encoded, "ids", target, lambda ids: decode_ids(ids or b"", shared.value, pattern))
+    return _mapped(encoded, "ids", **{target: lambda ids: decode_ids(ids or b"", shared.value, pattern)})

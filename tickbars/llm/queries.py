@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickbars.llm import lm_score
-from tickbars.llm.bpe import Bpe, decode, encode
+from tickbars.llm.bpe import Bpe, encode
 from tickbars.llm.decontaminate import contaminated
 from tickbars.llm.fingerprint import fingerprints
 from tickbars.llm.html_text import extract
@@ -82,7 +82,7 @@ def op6_lm_score(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     bpe = Bpe.from_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    coded = decode(encode(_documents(spark, sf).select("doc_id", "text"), bpe), bpe)
+    coded = encode(_documents(spark, sf).select("doc_id", "text"), bpe, decoded="decoded")
     return coded.select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
