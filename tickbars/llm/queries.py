@@ -19,6 +19,7 @@ from tickbars.llm.line_dedup import dedup_lines
 from tickbars.llm.near_dedup import NearDedup, near_components
 from tickbars.llm.oracle import ORACLE
 from tickbars.llm.repeats import remove_repeats
+from tickbars.llm.token_counts import prefix_counts
 from tickbars.llm.warc import read_archives, write_archives
 from tickbars.sources.paths import scratch_dir
 
@@ -108,6 +109,14 @@ def op10_repeats(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op12_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as file:
+        content = file.read()
+    counted = prefix_counts(_documents(spark, sf), content, public_tokenizers.PATTERN, budget=512, steps=False)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit", "n_chars", "fitting_chars")
+
+
 @query
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
