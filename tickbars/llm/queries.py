@@ -15,6 +15,7 @@ from tickbars.llm.decontaminate import contaminated
 from tickbars.llm.fingerprint import fingerprints
 from tickbars.llm.html_text import extract
 from tickbars.llm.language import identify, train
+from tickbars.llm.lexical_search import search
 from tickbars.llm.line_dedup import dedup_lines
 from tickbars.llm.near_dedup import NearDedup, near_components
 from tickbars.llm.oracle import ORACLE
@@ -109,6 +110,11 @@ def op10_repeats(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op11_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return search(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 @query
 def op12_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as file:
