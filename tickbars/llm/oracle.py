@@ -54,4 +54,39 @@ scores AS (SELECT item_id, doc_id, r, sum(gain)::BIGINT AS score FROM gains JOIN
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scores)
 WHERE rank <= 10""",
+    # CRC-32 bit by bit; totals by sums over the members of a node instead of messages.
+    "op13_prefix_trie": """
+WITH ids AS (
+  SELECT conv_id, xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+           lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384)))) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+turns AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)),
+made AS (
+  SELECT ids.conv_id, 0 AS own, p, role, text FROM ids JOIN turns ON turns.conv_id = ids.conv_id - ids.conv_id % 5 AND p <= h
+  UNION ALL SELECT conv_id, 1, p, role, text FROM ids JOIN turns USING (conv_id) WHERE p > h),
+seq AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY own, p) AS depth FROM made),
+chained AS (
+  SELECT conv_id, depth, strlen(text) AS n_bytes,
+         list({'r': role, 't': text}) OVER (PARTITION BY conv_id ORDER BY depth) AS path,
+         depth = max(depth) OVER (PARTITION BY conv_id) AS is_end FROM seq),
+members AS (
+  SELECT conv_id, depth, n_bytes, sha256(path::JSON::VARCHAR) AS k, is_end FROM chained
+  UNION ALL SELECT conv_id, 0, 0, '', conv_id NOT IN (SELECT conv_id FROM seq) FROM ids),
+nodes AS (
+  SELECT k, depth, min(conv_id) AS first, count(*) AS n_convs, any_value(n_bytes) AS n_bytes,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE is_end), '') AS ends FROM members GROUP BY k, depth),
+up AS (SELECT m.k, m.depth, any_value(p.k) AS parent FROM members m JOIN members p ON p.conv_id = m.conv_id AND p.depth = m.depth - 1 GROUP BY m.k, m.depth),
+kids AS (SELECT parent, count(*) AS n FROM up GROUP BY parent),
+facts AS (
+  SELECT nodes.*, up.parent, coalesce(n, 0) AS n_children, (n IS NULL)::INT AS leaf, (n_convs - 1) * n_bytes AS own
+  FROM nodes LEFT JOIN up USING (k, depth) LEFT JOIN kids ON kids.parent = nodes.k),
+below AS (
+  SELECT m.k, sum(f.leaf) AS n_leaves, sum(f.own) AS saved
+  FROM facts f JOIN members x ON x.k = f.k AND x.conv_id = f.first JOIN members m ON m.conv_id = f.first AND m.depth <= f.depth GROUP BY m.k)
+SELECT f.first AS conv_id, f.depth::BIGINT AS depth, p.first AS parent_conv_id, f.n_convs, f.n_children::BIGINT AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM facts f JOIN below USING (k) LEFT JOIN nodes p ON p.k = f.parent""",
 }

@@ -19,6 +19,7 @@ from tickbars.llm.lexical_search import search
 from tickbars.llm.line_dedup import dedup_lines
 from tickbars.llm.near_dedup import NearDedup, near_components
 from tickbars.llm.oracle import ORACLE
+from tickbars.llm.prefix_trie import prefix_trie
 from tickbars.llm.repeats import remove_repeats
 from tickbars.llm.token_counts import prefix_counts
 from tickbars.llm.warc import read_archives, write_archives
@@ -123,6 +124,11 @@ def op12_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit", "n_chars", "fitting_chars")
 
 
+@query
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie(spark.read.parquet(f"{sf}/conversations.parquet"))
+
+
 @query
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
