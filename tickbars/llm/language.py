@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from tickbars.llm.buffers import mix, per_text, slices, text_bytes
 
 SPACE = 32
+#: Bytes of text that a task scores at once; its arrays take some 150 times as much.
+SLICE = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -229,7 +231,7 @@ def _calibrate(model: LanguageModel, held: DataFrame) -> None:
     shared = held.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for part in slices(batches, limit=1 << 19):
+        for part in slices(batches, limit=SLICE):
             values, counts = shared.value.entropies(*text_bytes(part.column("text")))
             lists = pa.FixedSizeListArray.from_arrays(pa.array(values.ravel()), n).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([part.column("lang"), lists, pa.array(counts)], names=["lang", "values", "n"])
@@ -268,7 +270,7 @@ def identify(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("do
     def run(batches):
         model = shared.value
         names = pa.array([*model.languages, "und"])
-        for part in slices(batches, limit=1 << 19):
+        for part in slices(batches, limit=SLICE):
             if model.languages:
                 values, counts = model.entropies(*text_bytes(part.column("text")))
                 best = np.where(counts > 0, values.argmin(axis=1), len(model.languages))
