@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickbars.llm.bpe import Bpe, decode, encode
+from tickbars.llm.bpe import Bpe, encode
 from tickbars.llm.decontaminate import without_contaminated
 from tickbars.llm.language import identify, train
 from tickbars.llm.line_dedup import dedup_lines
@@ -52,7 +52,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, and whether they decode to its text."""
     bpe = Bpe.from_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    coded = decode(encode(docs, bpe), bpe)
+    coded = encode(docs, bpe, decoded="decoded")
     intact = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return coded.select("doc_id", "lang", "source", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", intact.alias("intact"))
 
