@@ -9,7 +9,8 @@ from conftest import at, day, rows
 from test_sources import write_csv, write_db
 from tickbars import Limits, Settings
 from tickbars.operators import calendar
-from tickbars.plans.jobs import backfill, coverage_report, process_days
+from tickbars.plans import jobs
+from tickbars.plans.jobs import backfill, coverage_report, ingest, process_days
 from tickbars.sources import store as tables
 from tickbars.sources.store import Store
 from tickbars.streaming.incremental import incremental_update, record_absent_days
@@ -213,25 +214,80 @@ def test_a_late_file_with_an_old_time_is_taken(spark, landing, tmp_path):
 
 
 def test_days_left_out_by_target_dates_stay_pending(spark, landing, tmp_path):
-    store, again = Store(spark, str(tmp_path / "store")), tmp_path / "again"
+    store = Store(spark, str(tmp_path / "store"))
     arguments = {"csv": False, "built_at": BUILT}
     write_csv(landing / "t_20260616.csv", minutes("2026-06-15", 5) + minutes("2026-06-16", 4))
     write_csv(landing / "t_20260617.csv", minutes("2026-06-17", 4))
     incremental_update(spark, str(landing), store, str(tmp_path / "progress"), SETTINGS, **arguments)
-    again.mkdir()
-    write_csv(again / "t_20260616.csv", minutes("2026-06-16", 4))  # a done day loses its ticks
-    write_csv(again / "u_20260617.csv", minutes("2026-06-17", 7))  # another one gets more
+    write_csv(landing / "t_20260616.csv", minutes("2026-06-16", 4))  # a done day loses its ticks
+    write_csv(landing / "u_20260617.csv", minutes("2026-06-17", 7))  # another one gets more
     arguments |= {"checkpoint": str(tmp_path / "again-progress"), "settings": SETTINGS}
-    incremental_update(spark, str(again), store, target_dates=[day("2026-06-16")], **arguments)
+    incremental_update(spark, str(landing), store, target_dates=[day("2026-06-16")], **arguments)
     counts = store.read(tables.CANDLES).groupBy("trade_date").count()
     assert rows(counts, "trade_date", "count") == [(day("2026-06-15"), 5), (day("2026-06-16"), 4), (day("2026-06-17"), 4)]
-    incremental_update(spark, str(again), store, **arguments)  # no new file
+    incremental_update(spark, str(landing), store, **arguments)  # no new file
     counts = store.read(tables.CANDLES).groupBy("trade_date").count()
     assert rows(counts, "trade_date", "count") == [(day("2026-06-16"), 4), (day("2026-06-17"), 7)]
     assert store.read(tables.PENDING).count() == 0
 
 
-def test_symbol_files_are_no_copies(spark, tmp_path):
+def test_files_of_one_symbol_are_copies_of_that_symbol(spark, landing, tmp_path):
+    settings = replace(SETTINGS, file_layout="one_per_symbol")
+    write_csv(landing / "S_20260615.csv", minutes("2026-06-15", 5))
+    write_csv(landing / "T_20260615.csv", minutes("2026-06-15", 5, "T", 20))
+    write_csv(landing / "T2_20260615.csv", minutes("2026-06-15", 5, "T", 20))
+    write_csv(landing / "U_20260615.csv", minutes("2026-06-15", 5, "U", 30))
+    write_csv(landing / "U2_20260615.csv", minutes("2026-06-15", 4, "U", 30))
+    store = Store(spark, str(tmp_path / "store"))
+    backfill(spark, str(landing), store, settings, replication_mode="audit", built_at=BUILT, csv=False)
+    assert rows(store.read(tables.DAY_STATUS), "symbol", "status", "reason", "minutes_count") == [
+        ("S", "COMPLETE", None, 5), ("T", "COMPLETE", None, 5), ("U", "CONFLICT", "conflict", 0)
+    ]
+    assert rows(store.read(tables.DEDUP_LOG), "symbol", "n_copies", "action") == [("T", 2, "collapsed_identical"), ("U", 2, "CONFLICT")]
+    assert rows(store.read(tables.CANDLES).groupBy("symbol").count(), "symbol", "count") == [("S", 5), ("T", 5)]
+
+
+def test_a_run_that_stops_behind_the_archive_is_made_good(spark, landing, tmp_path):
+    path, again = landing / "t_20260616.csv", {"closed": calendar.holidays(spark, [])}
+    write_csv(path, minutes("2026-06-15", 5) + minutes("2026-06-16", 4) + ["S,bad,1,1"])
+    store, _ = run(spark, landing, tmp_path / "store", **again)
+    assert store.read(tables.CANDLES).count() == 9
+    write_csv(path, minutes("2026-06-16", 4))
+    ingest(spark, str(landing), store, SETTINGS)  # and nothing after it
+    run(spark, landing, tmp_path / "store", **again)
+    assert rows(store.read(tables.CANDLES), "trade_date") == [(day("2026-06-16"),)] * 4
+    assert store.read(tables.PENDING).count() == store.read(tables.REJECTS).count() == 0
+
+
+def test_files_without_a_needed_column_are_listed_and_mended(spark, landing, tmp_path):
+    path = landing / "t_20260615.csv"
+    write_csv(path, ["S,10"], header="symbol,price")
+    write_csv(landing / "t_20260616.csv", minutes("2026-06-16", 4))
+    store, _ = run(spark, landing, tmp_path / "store")
+    assert rows(store.read(tables.PROBLEMS), "source_file", "trade_date", "problem", "n_rows") == [
+        ("t_20260615.csv", day("2026-06-15"), "no column time, volume", 1)
+    ]
+    write_csv(path, minutes("2026-06-15", 5))
+    run(spark, landing, tmp_path / "store")
+    assert store.read(tables.PROBLEMS).count() == 0 and store.read(tables.CANDLES).count() == 9
+
+
+@pytest.mark.parametrize("source", ["sqlite", "csv"])
+def test_each_file_is_read_once(spark, landing, tmp_path, monkeypatch, source):
+    lines, settings = minutes("2026-06-15", 5), replace(SETTINGS, source_format=source)
+    path, own = landing / f"t_20260615.{'db' if source == 'sqlite' else 'csv'}", jobs.raw_files
+
+    def emptied(stored, settings):
+        path.write_bytes(b"")  # from here on only the stored rows can be read
+        return own(stored, settings)
+
+    monkeypatch.setattr(jobs, "raw_files", emptied)
     store = Store(spark, str(tmp_path / "store"))
-    with pytest.raises(ValueError, match="one symbol"):
-        process_days(store, replace(SETTINGS, file_layout="one_per_symbol"), calendar.holidays(spark, []), "audit")
+    for _ in range(2):
+        path.unlink(missing_ok=True)
+        if source == "sqlite":
+            write_db(path, [tuple(line.split(",")) for line in lines])
+        else:
+            write_csv(path, lines)
+        backfill(spark, str(landing), store, settings, built_at=BUILT, csv=False)
+        assert store.read(tables.CANDLES).count() == 5

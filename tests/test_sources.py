@@ -49,11 +49,47 @@ def test_csv_column_names_are_a_setting(spark, tmp_path):
     assert rows(got, "symbol", "ts_utc", "price", "volume") == [("S", at("2026-06-19T04:17:00"), 10.0, 9)]
 
 
-def test_csv_with_another_header_is_an_error(spark, tmp_path):
+def test_csv_files_of_several_headers(spark, tmp_path):
     write_csv(tmp_path / "a.csv", ["S,2026-06-18 05:00:00,1,1"])
-    write_csv(tmp_path / "b.csv", ["1,S,2026-06-18 05:00:00,1"], header="volume,symbol,time,price")
-    with pytest.raises(Exception, match="(?i)header"):
-        read_csv_ticks(spark, str(tmp_path), CSV).collect()
+    write_csv(tmp_path / "b_20260618.csv", ["2,S,2026-06-18 05:01:00,x y,5"], header="\ufeffvolume,symbol,time,note,price")
+    write_csv(tmp_path / "c.csv", ["3,S,2026-06-18 05:02:00,6"], header="volume,symbol,time,price")
+    write_csv(tmp_path / "d_20260618.csv", ["S,2026-06-18 05:03:00,1", "S,2026-06-18 05:04:00,2"], header="symbol,time,price")
+    write_csv(tmp_path / "e.csv", [])
+    (tmp_path / "f.csv").write_text("")
+    got = read_csv_ticks(spark, str(tmp_path), CSV)
+    assert rows(got, "symbol", "ts_raw", "price", "volume", "source_file") == sorted(
+        [
+            ("S", "2026-06-18 05:00:00", "1", "1", "a.csv"),
+            ("S", "2026-06-18 05:01:00", "5", "2", "b_20260618.csv"),
+            ("S", "2026-06-18 05:02:00", "6", "3", "c.csv"),
+        ],
+        key=repr,
+    )
+    assert rows(read_problems(spark, str(tmp_path), CSV), "source_file", "trade_date", "problem", "n_rows") == [
+        ("d_20260618.csv", day("2026-06-18"), "no column volume", 2)
+    ]
+
+
+def test_no_row_of_a_file_in_blocks_is_taken_for_its_header(spark, tmp_path):
+    lines = [f"S,2026-06-18 05:00:00,{i},1" for i in range(20_000)]
+    write_csv(tmp_path / "long.csv", lines)
+    write_csv(tmp_path / "other.csv", ["1,S,2026-06-18 05:00:00,1"], header="volume,symbol,time,price")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        got = read_csv_ticks(spark, str(tmp_path), CSV)
+        assert got.where("source_file = 'long.csv'").select("price").distinct().count() == got.count() - 1 == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_files_of_one_name_in_two_folders(spark, tmp_path):
+    folders = [tmp_path / "x", tmp_path / "y"]
+    for k, folder in enumerate(folders):
+        folder.mkdir()
+        write_csv(folder / "t.csv", [f"S,2026-06-18 05:0{k}:00,1,1"])
+    got = read_csv_ticks(spark, [str(f) for f in folders], CSV)
+    assert [(a, b.rsplit("/", 2)[1]) for a, b in rows(got, "source_file", "source_path")] == [("t.csv", "x"), ("t.csv", "y")]
 
 
 @pytest.mark.parametrize("settings", [CSV, SQLITE])

@@ -1,3 +1,4 @@
+import shutil
 from datetime import datetime
 
 import pytest
@@ -110,9 +111,20 @@ def test_staged_rows_are_gone_afterwards(spark, store, tmp_path):
     assert not list((tmp_path / "store" / "_staging").iterdir())
 
 
-def test_defaults_fill_nulls(spark):
-    frame = spark.createDataFrame([("A", None), ("B", 2)], "symbol STRING, volume BIGINT")
-    assert rows(schemas.apply_defaults(frame, volume=F.lit(0)), "symbol", "volume") == [("A", 0), ("B", 2)]
+def test_rows_that_break_a_rule_are_set_aside(spark, store):
+    ok = candles(spark, ("A", "2026-06-17T05:00:00", 1.0), ("B", "2026-06-17T05:00:00", 2.0))
+    twice = candles(spark, ("C", "2026-06-17T05:00:00", 1.0), ("C", "2026-06-17T05:00:00", 2.0))
+    holes = candles(spark, ("D", "2026-06-18T05:00:00", None), (None, "2026-06-18T05:01:00", 1.0)).union(candles(spark, ("E", "2026-06-18T05:00:00", 1.0)).withColumn("ts", F.lit(None).cast("timestamp_ntz")))
+    bare = candles(spark, ("F", "2026-06-18T05:00:00", 5.0)).withColumn("volume", F.lit(None).cast("bigint")).withColumn("had_trade", F.lit(None).cast("boolean"))
+    store.guarded_upsert(tables.CANDLES, ok.union(twice).union(holes).union(bare))
+    assert rows(store.read(tables.CANDLES), "symbol", "volume", "had_trade") == [("A", 1, True), ("B", 1, True), ("F", 0, True)]
+    assert rows(store.read(tables.BREACHES), "table_name", "trade_date", "rule") == [
+        ("candles_1m", day("2026-06-17"), "repeated_key"), ("candles_1m", day("2026-06-17"), "repeated_key"),
+        ("candles_1m", day("2026-06-18"), "null_open"), ("candles_1m", day("2026-06-18"), "null_symbol"), ("candles_1m", day("2026-06-18"), "null_ts"),
+    ]
+    store.guarded_upsert(tables.CANDLES, candles(spark, ("C", "2026-06-17T05:00:00", 3.0)))  # the day comes again, clean
+    assert rows(store.read(tables.BREACHES), "trade_date") == [(day("2026-06-18"),)] * 3
+    assert store.read(tables.CANDLES).count() == 4
 
 
 def test_conform_orders_casts_and_adds(spark):
@@ -133,7 +145,67 @@ def test_null_and_repeated_keys_are_refused(spark, store):
 
 def test_partitions_with_odd_names_can_be_dropped(spark, store):
     frame = make_ticks(spark, [("S", "2026-06-18T05:00:00", 1, 1, "a=1 %.csv"), (None, None, None, None, "a=1 %.csv"), ("S", "2026-06-18T05:00:00", 2, 1, "b")])
-    store.archive(frame)
+    by_name = tables.Table("by_name", schemas.TICKS, ("trade_date", "source_file"))
+    store.overwrite_partitions(by_name, frame)
     gone = frame.filter("source_file <> 'b'").select("trade_date", "source_file")
-    store.drop_partitions(tables.ARCHIVE, gone)
-    assert rows(store.read(tables.ARCHIVE), "source_file") == [("b",)]
+    store.drop_partitions(by_name, gone)
+    assert rows(store.read(by_name), "source_file") == [("b",)]
+
+
+def archived(spark, *data):
+    """(path, day, price) to ticks of files that all have one name."""
+    frame = make_ticks(spark, [("S", d and f"{d}T05:00:00", p, 1, path) for path, d, p in data])
+    return frame.withColumn("source_path", F.col("source_file")).withColumn("source_file", F.lit("t.csv"))
+
+
+def test_a_file_replaces_only_its_own_rows_in_shared_folders(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "one"), buckets=1)  # all files of a day share a folder
+    store.archive(archived(spark, ("/a/t.csv", "2026-06-17", 1), ("/a/t.csv", "2026-06-18", 2), ("/b/t.csv", "2026-06-18", 3), ("/b/t.csv", None, 4), ("/a/t.csv", None, 5)))
+    store.archive(archived(spark, ("/a/t.csv", "2026-06-19", 6)))
+    got = rows(store.read(tables.ARCHIVE), "source_path", "trade_date", "price")
+    assert got == sorted([("/a/t.csv", day("2026-06-19"), 6.0), ("/b/t.csv", day("2026-06-18"), 3.0), ("/b/t.csv", None, 4.0)], key=repr)
+    assert rows(store.read(tables.INGESTED), "source_path", "trade_date", "n_ticks") == sorted(
+        [("/a/t.csv", day("2026-06-19"), 1), ("/b/t.csv", day("2026-06-18"), 1), ("/b/t.csv", None, 1)], key=repr
+    )
+    assert rows(store.read(tables.PENDING), "trade_date", "emptied") == [
+        (day("2026-06-17"), True), (day("2026-06-18"), True), (day("2026-06-19"), False)
+    ]
+    days = [p.name for p in (tmp_path / "one" / "archive").iterdir() if p.is_dir()]
+    assert "trade_date=2026-06-17" not in days or not list((tmp_path / "one" / "archive" / "trade_date=2026-06-17").iterdir())
+
+
+@pytest.mark.parametrize("step", ["overwrite_partitions", "drop_partitions", "_replace_listed"])
+@pytest.mark.parametrize("nth", [1, 2])
+def test_work_that_stops_anywhere_is_finished_by_the_next_call(spark, tmp_path, monkeypatch, step, nth):
+    store = Store(spark, str(tmp_path / "store"), buckets=1)
+    store.archive(archived(spark, ("/a/t.csv", "2026-06-17", 1), ("/a/t.csv", "2026-06-18", 2), ("/b/t.csv", "2026-06-18", 3)))
+    calls, own = [], getattr(Store, step)
+
+    def breaks(self, table, *rest, **options):
+        mine = step == "_replace_listed" or table.name in ("archive", "ingested")
+        if mine:
+            calls.append(table)
+        if len(calls) == nth and mine:
+            if step == "overwrite_partitions":  # a folder is gone and its new content not there yet
+                shutil.rmtree(tmp_path / "store" / "archive" / "trade_date=2026-06-18")
+            raise RuntimeError("stopped")
+        return own(self, table, *rest, **options)
+
+    monkeypatch.setattr(Store, step, breaks)
+    with pytest.raises(RuntimeError, match="stopped"):
+        store.archive(archived(spark, ("/a/t.csv", "2026-06-18", 9)))
+    monkeypatch.undo()
+    assert day("2026-06-17") in [r.trade_date for r in store.read(tables.PENDING).where("emptied").collect()]
+    again = Store(spark, str(tmp_path / "store"), buckets=1)
+    again.recover()
+    want = [("/a/t.csv", day("2026-06-18"), 9.0), ("/b/t.csv", day("2026-06-18"), 3.0)]
+    assert rows(again.read(tables.ARCHIVE), "source_path", "trade_date", "price") == want
+    assert rows(again.read(tables.INGESTED), "source_path", "trade_date", "n_ticks") == [(p, d, 1) for p, d, _ in want]
+    assert not list((tmp_path / "store" / "_intents").iterdir())
+
+
+def test_an_unfinished_note_of_work_is_dropped(spark, store, tmp_path):
+    store.archive(archived(spark, ("/a/t.csv", "2026-06-18", 2)))
+    (tmp_path / "store" / "_intents" / "half" / "ticks").mkdir(parents=True)
+    store.recover()
+    assert rows(store.read(tables.ARCHIVE), "price") == [(2.0,)] and not list((tmp_path / "store" / "_intents").iterdir())

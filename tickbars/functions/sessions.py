@@ -50,6 +50,36 @@ def in_session(ts_local: Column, trade_date: Column, rules: SessionRules) -> Col
     return _case([(condition, inside(windows)) for condition, windows in _branches(trade_date, rules)])
 
 
+def _disjoint(windows: tuple[Hours, ...]) -> list[tuple[int, int]]:
+    """(first, last) second of the windows in order, those that overlap as one."""
+    merged: list[tuple[int, int]] = []
+    for first, last in sorted((w.first_second, w.last_second) for w in windows):
+        if merged and first <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(last, merged[-1][1]))
+        else:
+            merged.append((first, last))
+    return merged
+
+
+def open_micros(start: Column, end: Column, trade_date: Column, rules: SessionRules) -> Column:
+    """Microseconds between two local times of a date that lie in its session.
+
+    What is left of the time between them without the closed parts before,
+    between and after the windows; 0 where ``end`` is not later.
+    """
+    midnight = trade_date.cast("timestamp_ntz")
+    begin, stop = (F.timestamp_diff("MICROSECOND", midnight, t) for t in (start, end))
+
+    def inside(windows: tuple[Hours, ...]) -> Column:
+        total = F.lit(0).cast("bigint")
+        for first, last in _disjoint(windows):
+            shared = F.least(stop, F.lit(last * 1_000_000)) - F.greatest(begin, F.lit(first * 1_000_000))
+            total = total + F.greatest(shared, F.lit(0))
+        return F.when(start.isNotNull() & end.isNotNull(), total)
+
+    return _case([(condition, inside(windows)) for condition, windows in _branches(trade_date, rules)])
+
+
 def session_windows(trade_date: Column, rules: SessionRules) -> Column:
     """Windows of a date as ``array<struct<start_second, end_second>>``."""
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tickbars.functions.sessions import open_micros
 from tickbars.schemas import CANDLE_KEY, CANDLE_REQUIRED, DAY_STATS, conform
 from tickbars.settings import Settings
 
@@ -67,16 +68,22 @@ def quarantined_candles(checked: DataFrame) -> DataFrame:
     )
 
 
-def _symbol_days(checked: DataFrame) -> DataFrame:
-    """Counters, valid bars and longest gap of every symbol-day."""
+def _gap(settings: Settings) -> Column:
+    """Microseconds since the bar before of the same validity, with or without the scheduled breaks."""
     same = W.partitionBy("symbol", "trade_date", "is_valid").orderBy("ts")
-    gap = F.timestamp_diff("MICROSECOND", F.lag("ts").over(same), F.col("ts"))
+    if settings.limits.gaps_count_breaks:
+        return F.timestamp_diff("MICROSECOND", F.lag("ts").over(same), F.col("ts"))
+    return open_micros(F.lag("minute_local").over(same), F.col("minute_local"), F.col("trade_date"), settings.session)
+
+
+def _symbol_days(checked: DataFrame, settings: Settings) -> DataFrame:
+    """Counters, valid bars and longest gap of every symbol-day."""
 
     def failures(check: str) -> Column:
         return F.count_if(~F.col(check)).alias(check)
 
     return (
-        checked.withColumn("gap", gap)
+        checked.withColumn("gap", _gap(settings))
         .groupBy("symbol", "trade_date")
         .agg(
             F.count("*").alias("bars"),
@@ -105,7 +112,7 @@ def day_stats(checked: DataFrame, settings: Settings) -> DataFrame:
         F.lit("insufficient_minutes ("), minutes.cast("string"), F.lit(f" < {limits.min_session_minutes})")
     )
     days = (
-        _symbol_days(checked)
+        _symbol_days(checked, settings)
         .groupBy("trade_date")
         .agg(
             F.sum("valid_bars").alias("minutes_count"),
@@ -127,9 +134,13 @@ def day_stats(checked: DataFrame, settings: Settings) -> DataFrame:
 
 
 def gap_flags(checked: DataFrame, settings: Settings) -> DataFrame:
-    """Busiest symbol of each day and whether its valid bars leave a long gap."""
+    """Busiest symbol of each day and whether its valid bars leave a long gap.
+
+    ``Limits.gaps_count_breaks`` says whether a scheduled break is a part of
+    one: with it, bars on both sides of the Friday break leave a gap.
+    """
     return (
-        _symbol_days(checked)
+        _symbol_days(checked, settings)
         .filter(F.col("valid_bars") > 0)
         .groupBy("trade_date")
         .agg(_busiest("symbol").alias("top_symbol"), _busiest("longest_gap").alias("gap"))

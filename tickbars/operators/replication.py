@@ -1,12 +1,14 @@
 """Whole-day replication audit: are the copies of a day the same bars?
 
-A copy is everything one source file holds for a day. All copies of all days
-are compared in one aggregate, so neither the number of copies nor the size
-of one of them matters, and a minute that only some copies have counts as a
-disagreement.
+A copy is everything one source file holds for a day, or with ``BY_SYMBOL``
+for a symbol on a day: of files with one symbol each, only those of the same
+symbol can be copies. All copies are compared in one aggregate, so neither the
+number of copies nor the size of one of them matters, and a minute that only
+some copies have counts as a disagreement.
 
 Only tables with one row per calendar date are broadcast: at most 3.7 million
-short rows, for dates run from year 1 to 9999.
+short rows, for dates run from year 1 to 9999. Tables by symbol are joined as
+Spark sees fit.
 """
 
 from __future__ import annotations
@@ -20,6 +22,13 @@ from tickbars.operators.ticks import TRADE, drop_invalid
 
 IDENTICAL = "collapsed_identical"
 CONFLICT = "CONFLICT"
+#: What copies are copies of.
+BY_DAY = ("trade_date",)
+BY_SYMBOL = ("trade_date", "symbol")
+
+
+def _small(rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    return F.broadcast(rows) if by == BY_DAY else rows  # calendar-sized
 
 
 def duplicate_days(ticks: DataFrame) -> DataFrame:
@@ -39,12 +48,12 @@ def copy_candles(ticks: DataFrame) -> DataFrame:
     return ohlcv_from_ticks(minutes, "trade_date", "source_file", "symbol", "ts")
 
 
-def _copies(candles: DataFrame) -> DataFrame:
-    """Copies of each day that has several; one row per calendar date at most."""
+def _copies(candles: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Copies of each day, or symbol-day, that has several."""
     return (
-        candles.select("trade_date", "source_file")
+        candles.select(*by, "source_file")
         .distinct()
-        .groupBy("trade_date")
+        .groupBy(*by)
         .agg(F.count("*").alias("n_copies"), F.min("source_file").alias("kept_source"))
         .filter(F.col("n_copies") > 1)
     )
@@ -70,31 +79,31 @@ def _disagrees() -> Column:
     return (F.col("copies_present") < F.col("n_copies")) | F.col("values_differ")
 
 
-def replication_diff(candles: DataFrame) -> DataFrame:
-    """Minutes the copies of a day disagree on; input is ``copy_candles``."""
-    copies = F.broadcast(_copies(candles).select("trade_date", "n_copies"))  # calendar-sized
+def replication_diff(candles: DataFrame, by: tuple[str, ...] = BY_DAY) -> DataFrame:
+    """Minutes the copies disagree on; input is ``copy_candles``."""
+    copies = _small(_copies(candles, by).select(*by, "n_copies"), by)
     return (
         _minutes(candles)
-        .join(copies, "trade_date")
+        .join(copies, list(by))
         .filter(_disagrees())
         .select("trade_date", "symbol", "ts", "n_copies", "copies_present", "values_differ")
     )
 
 
-def replication_audit(candles: DataFrame) -> DataFrame:
-    """Verdict for every day with several copies; input is ``copy_candles``.
+def replication_audit(candles: DataFrame, by: tuple[str, ...] = BY_DAY) -> DataFrame:
+    """Verdict for every day, or symbol-day, with several copies; input is ``copy_candles``.
 
-    The copy to keep of an identical day is the first by file name.
+    The copy to keep of identical ones is the first by file name.
     """
-    copies = F.broadcast(_copies(candles))  # calendar-sized
+    copies = _small(_copies(candles, by), by)
     disagreeing = F.count_if(_disagrees())
     return (
         _minutes(candles)
-        .join(copies, "trade_date")
-        .groupBy("trade_date", "n_copies", "kept_source")
+        .join(copies, list(by))
+        .groupBy(*by, "n_copies", "kept_source")
         .agg(disagreeing.alias("disagreeing"))
         .select(
-            "trade_date",
+            *by,
             "n_copies",
             F.when(F.col("disagreeing") == 0, IDENTICAL).otherwise(CONFLICT).alias("action"),
             F.when(F.col("disagreeing") == 0, "")
@@ -109,22 +118,29 @@ def conflict_dates(verdicts: DataFrame) -> DataFrame:
     return verdicts.filter(F.col("action") == CONFLICT).select("trade_date")
 
 
-def drop_conflicts(ticks: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Ticks of the days whose copies do not contradict each other."""
-    return ticks.filter(F.col("trade_date").isNotNull()).join(
-        F.broadcast(conflict_dates(verdicts)), "trade_date", "left_anti"  # calendar-sized
-    )
+def conflict_symbols(verdicts: DataFrame) -> DataFrame:
+    """(symbol, trade_date) whose copies contradict each other, of verdicts by symbol."""
+    return verdicts.filter(F.col("action") == CONFLICT).select("symbol", "trade_date")
 
 
-def collapse_copies(ticks: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Drop conflicting days and keep one copy of each identical day."""
-    kept = F.broadcast(verdicts.select("trade_date", "action", "kept_source"))  # calendar-sized
+def drop_conflicts(ticks: DataFrame, verdicts: DataFrame, by: tuple[str, ...] = BY_DAY) -> DataFrame:
+    """Ticks of the days, or symbol-days, whose copies do not contradict each other."""
+    conflicts = _small(verdicts.filter(F.col("action") == CONFLICT).select(*by), by)
+    return ticks.filter(F.col("trade_date").isNotNull()).join(conflicts, list(by), "left_anti")
+
+
+def collapse_copies(ticks: DataFrame, verdicts: DataFrame, by: tuple[str, ...] = BY_DAY) -> DataFrame:
+    """Drop what conflicts and keep one copy of what is identical.
+
+    Ticks without a symbol belong to no copy by symbol and stay.
+    """
+    kept = _small(verdicts.select(*by, "action", "kept_source"), by)
     keep = F.col("action").isNull() | (
         (F.col("action") == IDENTICAL) & (F.col("source_file") == F.col("kept_source"))
     )
     return (
         ticks.filter(F.col("trade_date").isNotNull())
-        .join(kept, "trade_date", "left")
+        .join(kept, list(by), "left")
         .filter(keep)
         .select(*ticks.columns)
     )

@@ -59,6 +59,14 @@ def symbol_day_status(candles: DataFrame, built_at: Column) -> DataFrame:
     return conform(rows.withColumn("built_at", built_at), DAY_STATUS)
 
 
+def conflict_symbol_status(symbol_days: DataFrame, built_at: Column) -> DataFrame:
+    """A CONFLICT row for every symbol and day whose copies contradict each other."""
+    rows = symbol_days.select("symbol", "trade_date").distinct().withColumns(
+        {"status": F.lit(CONFLICT), "reason": F.lit("conflict"), "minutes_count": F.lit(0), "built_at": built_at}
+    )
+    return conform(rows, DAY_STATUS)
+
+
 def market_day_status(stats: DataFrame, built_at: Column) -> DataFrame:
     """A market-wide row for every day that is not COMPLETE."""
     rows = stats.filter(F.col("status") != COMPLETE).select(

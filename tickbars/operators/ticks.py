@@ -14,6 +14,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import types as T
 
 from tickbars.functions.fields import (
     coercion_failed,
@@ -25,7 +26,7 @@ from tickbars.functions.fields import (
 )
 from tickbars.functions.sessions import in_session
 from tickbars.functions.timestamps import parse_timestamp, second_of_day, to_local
-from tickbars.schemas import TICKS, conform
+from tickbars.schemas import ARCHIVED, TICKS, conform
 from tickbars.settings import Settings
 
 TRADE = ("symbol", "trade_date", "ts_utc", "price", "volume")
@@ -48,12 +49,14 @@ def with_local_time(ticks: DataFrame, settings: Settings) -> DataFrame:
 def normalise_ticks(raw: DataFrame, settings: Settings) -> DataFrame:
     """Raw text ticks of any number of files to typed ticks.
 
-    Rows that fail a cast stay, with nulls, so that they can be counted.
+    Rows that fail a cast stay, with nulls, so that they can be counted. The
+    path of the file is kept if the rows have it.
     """
     typed = coerce_ticks(raw).withColumn(
         "ts_utc", parse_timestamp(F.col("ts_raw"), settings.timestamp_format, settings.timezone)
     )
-    return conform(with_local_time(typed, settings), TICKS)
+    known = T.StructType([f for f in ARCHIVED.fields if f.name in TICKS.fieldNames() or f.name in raw.columns])
+    return conform(with_local_time(typed, settings), known)
 
 
 def merge_sources(frames: Sequence[DataFrame]) -> DataFrame:

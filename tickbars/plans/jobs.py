@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from tickbars.functions.fields import file_date
 from tickbars.operators import bars, calendar, quality, replication, reports, status, ticks
-from tickbars.schemas import CHECKED_CANDLES, COPY_CANDLES, DATES, DAY_SYMBOLS, INGESTED, PROBLEMS, TRADE_SLICES
+from tickbars.schemas import CHECKED_CANDLES, COPY_CANDLES, DATES, DAY_SYMBOLS, MARKET, PROBLEMS, TICKS, TRADE_SLICES, conform
 from tickbars.settings import Settings
 from tickbars.sources import store as tables
-from tickbars.sources.files import read_problems, read_raw_ticks
+from tickbars.sources.files import list_files, raw_files, read_rows
 from tickbars.sources.store import Store
 
 REPLICATION_MODES = ("merge", "audit")
@@ -38,46 +38,37 @@ def run_timestamp(built_at: datetime | None = None) -> Column:
 
 
 def ingest(spark: SparkSession, path: str | list[str], store: Store, settings: Settings) -> DataFrame:
-    """Raw files to the archive; unreadable ones to the problems. Returns the days that files no longer have."""
-    normalised = ticks.normalise_ticks(read_raw_ticks(spark, path, settings), settings)
-    return archive(store, normalised, settings, problems=read_problems(spark, path, settings))
+    """Raw files to the archive; unusable ones to the problems. Returns the days that lost ticks and wait to be worked out.
+
+    Every file is read once: its rows are stored as they are, and ticks and
+    problems come from what is stored.
+    """
+    return ingest_rows(store, read_rows(spark, path, settings), settings, list_files(spark, path, settings))
+
+
+def ingest_rows(store: Store, rows: DataFrame, settings: Settings, files: DataFrame | None = None) -> DataFrame:
+    """The same for rows of ``read_rows``; ``files`` are those that may have had no row."""
+    with store.staged(rows, rows.schema) as stored:
+        raw = raw_files(stored, settings)
+        seen = raw.files if files is None else raw.files.unionByName(files)
+        return archive(store, ticks.normalise_ticks(raw.ticks, settings), settings, seen, raw.problems)
 
 
 def archive(
     store: Store, normalised: DataFrame, settings: Settings, files: DataFrame | None = None, problems: DataFrame | None = None
 ) -> DataFrame:
-    """Write ticks to the archive and list which days each file brought.
+    """Ticks to the archive, in place of all that it had of their files, of ``files`` and of those with ``problems``.
 
-    The list comes from the partitions just written, all or those of
-    ``files``; later steps ask this small table instead of the archive. Days
-    that an earlier form of a file had, and this one has not, leave the
-    archive; they are returned (trade_date), to be worked out anew.
+    The days that gain or lose ticks are noted before anything changes, so a
+    run that stops here is made good by the next one. Returns the days
+    (trade_date) that lost ticks and were not worked out since.
     """
-    known = store.read(tables.INGESTED, files)
-    if problems is not None and settings.source_format == "sqlite":
-        with store.staged(problems, PROBLEMS) as broken:
-            store.overwrite_partitions(tables.PROBLEMS, broken)
-            again = normalised.select("source_file").distinct()
-            mended = store.read(tables.PROBLEMS).join(again, "source_file", "left_semi")
-            store.drop_partitions(tables.PROBLEMS, mended)
-    stale = store.spark.createDataFrame([], INGESTED)
-    if not known.isEmpty():
-        # Only files that come again cost a second look at their rows.
-        now = normalised.groupBy("source_file", "trade_date").agg(F.count("*").alias("_now"))
-        listed = now.select("source_file").distinct()
-        if problems is not None:
-            listed = listed.unionByName(problems.select("source_file")).distinct()
-        if files is not None:
-            listed = listed.unionByName(files.select("source_file")).distinct()
-        same = (known["source_file"] == now["source_file"]) & known["trade_date"].eqNullSafe(now["trade_date"])
-        stale = known.join(now, same, "left_anti").join(listed, "source_file", "left_semi")
-        stale = store.spark.createDataFrame(stale.select(*INGESTED.fieldNames()).collect(), INGESTED)  # files that shrank
-        store.drop_partitions(tables.INGESTED, stale)
-        store.drop_partitions(tables.ARCHIVE, stale)
-    store.archive(normalised, cluster=settings.file_layout != "one_per_day")
-    brought = store.read(tables.ARCHIVE, files).groupBy("source_file", "trade_date").agg(F.count("*").alias("n_ticks"))
-    store.overwrite_partitions(tables.INGESTED, brought)
-    return stale.select("trade_date").where("trade_date IS NOT NULL").distinct()
+    store.archive(normalised, settings.file_layout != "one_per_day", files, problems)
+    return emptied_dates(store)
+
+
+def emptied_dates(store: Store) -> DataFrame:
+    return store.read(tables.PENDING).where("emptied").select("trade_date")
 
 
 def archived_dates(store: Store, settings: Settings) -> DataFrame:
@@ -105,20 +96,28 @@ def process_days(
     """Recompute ``dates`` from the archive and write every table for them."""
     _one_of(replication_mode, REPLICATION_MODES)
     _one_of(write_mode, WRITE_MODES)
-    if replication_mode == "audit" and settings.file_layout == "one_per_symbol":
-        raise ValueError("files of one symbol each are no copies of a day; use replication_mode='merge'")
+    # Files of one symbol each are no copies of a day, but those of a symbol can be copies of each other.
+    by_symbol = settings.file_layout == "one_per_symbol"
+    by = replication.BY_SYMBOL if by_symbol else replication.BY_DAY
     now = run_timestamp(built_at)
     with store.staged(dates.select("trade_date").distinct(), DATES) as days:
-        feed = store.read(tables.ARCHIVE, days)
+        feed = conform(store.read(tables.ARCHIVE, days), TICKS)
         undated = _undated_ticks(store)
         _write_rejects(store, feed, undated, days)
-        contradicted = None
+        contradicted = contradicted_symbols = None
         if replication_mode == "audit":
+            # Copies are told apart by their paths.
+            by_path = store.read(tables.ARCHIVE, days).withColumn("source_file", F.col("source_path"))
+            feed = conform(by_path, TICKS)
             with store.staged(replication.copy_candles(feed), COPY_CANDLES) as copies:
-                store.replace_days(tables.DEDUP_LOG, replication.replication_audit(copies), days)
+                verdicts = replication.replication_audit(copies, by)
+                store.replace_days(tables.DEDUP_LOG, verdicts if by_symbol else verdicts.withColumn("symbol", F.lit(MARKET)), days)
             verdicts = store.read(tables.DEDUP_LOG, days)
-            contradicted = replication.conflict_dates(verdicts)
-            feed = replication.collapse_copies(feed, verdicts)
+            if by_symbol:
+                contradicted_symbols = replication.conflict_symbols(verdicts)
+            else:
+                contradicted = replication.conflict_dates(verdicts)
+            feed = replication.collapse_copies(feed, verdicts, by)
         counted = feed.unionByName(_of_file_dates(undated, days))
         with store.staged(ticks.trade_slices(counted, settings), TRADE_SLICES) as slices:
             store.replace_days(tables.CLEAN_STATS, ticks.slice_stats(slices, settings), days)
@@ -131,7 +130,7 @@ def process_days(
                 loadable = status.loadable_candles(quality.valid_candles(checked), stats)
                 before = store.read(tables.CANDLES, days).select("symbol", "trade_date").distinct()
                 with store.staged(before, DAY_SYMBOLS) if csv else nullcontext() as before:
-                    _write_candles(store, write_mode, loadable, stats, days, now)
+                    _write_candles(store, write_mode, loadable, stats, days, now, contradicted_symbols)
                     if csv:
                         stored = store.read(tables.CANDLES, days).select("symbol", "trade_date").distinct()
                         store.drop_candle_csvs(before.join(stored, ["symbol", "trade_date"], "left_anti"))
@@ -140,9 +139,17 @@ def process_days(
 
 
 def _write_candles(
-    store: Store, write_mode: str, loadable: DataFrame, stats: DataFrame, days: DataFrame, now: Column
+    store: Store,
+    write_mode: str,
+    loadable: DataFrame,
+    stats: DataFrame,
+    days: DataFrame,
+    now: Column,
+    contradicted_symbols: DataFrame | None = None,
 ) -> None:
     own = status.symbol_day_status(loadable, now)
+    if contradicted_symbols is not None:
+        own = own.unionByName(status.conflict_symbol_status(contradicted_symbols, now))
     market = status.market_day_status(stats, now)
     if write_mode == "replace_day":
         store.replace_days(tables.CANDLES, loadable, days, stage=False)
@@ -158,7 +165,7 @@ def _write_candles(
 
 def _undated_ticks(store: Store) -> DataFrame:
     """Archived ticks without a time."""
-    return store.read(tables.ARCHIVE).filter(F.col("trade_date").isNull())
+    return conform(store.read(tables.ARCHIVE).filter(F.col("trade_date").isNull()), TICKS)
 
 
 def _of_file_dates(undated: DataFrame, days: DataFrame) -> DataFrame:
@@ -174,8 +181,9 @@ def _write_rejects(store: Store, feed: DataFrame, undated: DataFrame, days: Data
     day = file_date(F.col("source_file"))
     by_file = ticks.rejected_ticks(_of_file_dates(undated, days)).withColumn("reject_date", day)
     lone = ticks.rejected_ticks(undated.filter(day.isNull())).withColumn("reject_date", F.lit(None).cast("date"))
-    store.drop_partitions(tables.REJECTS, store.spark.createDataFrame([(None,)], "reject_date DATE"))
     store.replace_days(tables.REJECTS, own.unionByName(by_file).unionByName(lone), days)
+    if lone.isEmpty():
+        store.drop_partitions(tables.REJECTS, store.spark.createDataFrame([(None,)], "reject_date DATE"))
 
 
 def coverage_report(
@@ -205,7 +213,7 @@ def backfill(
 
     Returns the one-row run summary.
     """
-    emptied = ingest(spark, path, store, settings)
+    emptied = ingest(spark, path, store, settings)  # also days that an earlier run lost and did not get to
     dates = archived_dates(store, settings).unionByName(emptied).distinct()
     process_days(store, settings, dates, replication_mode, write_mode, built_at, csv)
     store.write_coverage(coverage_report(store, settings, coverage_mode, closed))

@@ -214,6 +214,18 @@ GROUP BY symbol, trade_date, bucket""")
 
 SCANNED = _stored("SELECT symbol, ts_utc, ts_local, trade_date, price, volume FROM ticks")
 TICKS = _stored(f"SELECT {TICK_COLUMNS} FROM ticks")
+SYMBOL_VERDICTS = """
+, symbol_copies AS (
+  SELECT trade_date, symbol, count(DISTINCT source_file) AS n_copies, min(source_file) AS first_source
+  FROM copy_trades GROUP BY trade_date, symbol HAVING count(DISTINCT source_file) > 1),
+symbol_verdicts AS (
+  SELECT trade_date, symbol, n_copies, first_source,
+         count(*) FILTER (WHERE present < n_copies OR kinds > 1) AS disagreeing
+  FROM (SELECT trade_date, symbol, ts, count(*) AS present, count(DISTINCT row(open, high, low, close, volume)) AS kinds
+        FROM copy_bars GROUP BY ALL) JOIN symbol_copies USING (trade_date, symbol)
+  GROUP BY ALL)"""
+#: What is left after file A came again with the days up to the 15th.
+FEWER = "source_file = 'B' OR day(CAST(ts_utc + INTERVAL 5 HOUR AS DATE)) <= 15"
 
 ORACLE: dict[str, str] = {
     "ts_epoch_s": _parsed("date_trunc('second', ts)"),
@@ -257,6 +269,11 @@ SELECT symbol, ts_utc, ts_local, trade_date, price, volume,
        CASE WHEN source_file = 'A' THEN 'ticks_20240110.csv' ELSE 'ticks_20240118.csv' END AS source_file
 FROM ticks WHERE trade_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-19'"""),
     "archive_roundtrip": TICKS,
+    "archive_same_name": _stored(f"""
+SELECT symbol, ts_utc, ts_local, trade_date, price, volume, 'ticks.csv' AS source_file,
+       concat('/landing/', source_file, '/ticks.csv') AS source_path
+FROM ticks WHERE {FEWER}"""),
+    "replay_after_stop": CHAIN.replace("FROM feed)", f"FROM feed WHERE {FEWER})") + f"SELECT {CANDLE_COLUMNS}, spike_flag FROM loaded",
     "archive_replace": _stored(f"SELECT {TICK_COLUMNS} FROM ticks WHERE source_file = 'B' OR day(trade_date) <= 15"),
     "stale_days": _stored("""
 SELECT trade_date, count(*) AS n_rows FROM ticks
@@ -354,6 +371,46 @@ FROM imported_checked"""),
     "quarantine": _stored(f"""
 SELECT {CANDLE_COLUMNS}, spike_flag, trade_date AS quarantine_date FROM imported_checked WHERE NOT is_valid"""),
     "day_stats": _stored(f"SELECT {STATS_COLUMNS} FROM imported_stats"),
+    "gap_flag_sessions": _stored("""
+, open_gaps AS (
+  SELECT symbol, trade_date, is_valid,
+         CASE WHEN a IS NULL THEN NULL
+              WHEN isodow(trade_date) = 5
+              THEN greatest(0, least(b, 12 * 3600) - greatest(a, 9 * 3600 + 900))
+                   + greatest(0, least(b, 16 * 3600 + 1800) - greatest(a, 14 * 3600))
+              ELSE greatest(0, least(b, 15 * 3600 + 1800) - greatest(a, 9 * 3600 + 1800)) END AS gap
+  FROM (SELECT *, epoch(minute_local) - epoch(trade_date) AS b,
+               lag(epoch(minute_local) - epoch(trade_date)) OVER (PARTITION BY symbol, trade_date, is_valid ORDER BY ts) AS a
+        FROM imported_checked)),
+open_days AS (
+  SELECT symbol, trade_date, count(*) FILTER (WHERE is_valid) AS valid_bars, coalesce(max(gap) FILTER (WHERE is_valid), 0) AS gap
+  FROM open_gaps GROUP BY symbol, trade_date)
+SELECT trade_date, arg_min(symbol, row(-valid_bars, symbol)) AS top_symbol,
+       CAST(arg_min(gap, row(-valid_bars, symbol)) AS BIGINT) AS longest_gap_seconds,
+       arg_min(gap, row(-valid_bars, symbol)) > 7200 AS gap_flag
+FROM open_days WHERE valid_bars > 0 GROUP BY trade_date"""),
+    "day_minutes": _stored("""
+, marked AS (SELECT symbol, trade_date, hour(minute_local) * 60 + minute(minute_local) AS m FROM candles),
+market AS (SELECT trade_date, count(DISTINCT m) AS n FROM marked GROUP BY trade_date),
+counted AS (
+  SELECT symbol, trade_date, count(DISTINCT m) AS k FROM marked GROUP BY symbol, trade_date
+  UNION ALL SELECT '*', trade_date, n FROM market)
+SELECT symbol, trade_date, k AS distinct_minutes, k / n AS share,
+       CASE WHEN k < 40 THEN 'below' WHEN k > 60 THEN 'above' ELSE 'within' END AS band
+FROM counted JOIN market USING (trade_date)"""),
+    "guarded_upsert": _stored(f"""
+, given AS (
+  SELECT symbol, trade_date, ts, minute_local, open, high, low, close,
+         CASE WHEN minute(ts) % 11 = 0 THEN 0 ELSE volume END AS volume, had_trade FROM repeated),
+counted AS (SELECT *, count(*) FILTER (WHERE close IS NOT NULL) OVER (PARTITION BY symbol, ts) AS n FROM given)
+SELECT {CANDLE_COLUMNS}, CASE WHEN close IS NULL THEN 'null_close' WHEN n > 1 THEN 'repeated_key' END AS rule FROM counted"""),
+    "replication_audit_symbols": _stored(SYMBOL_VERDICTS + """
+SELECT trade_date, symbol, n_copies, CASE WHEN disagreeing = 0 THEN 'collapsed_identical' ELSE 'CONFLICT' END AS action,
+       CASE WHEN disagreeing = 0 THEN '' ELSE concat(disagreeing, ' minute(s) disagree') END AS detail,
+       CASE WHEN disagreeing = 0 THEN first_source END AS kept_source FROM symbol_verdicts"""),
+    "collapse_copies_symbols": _stored(SYMBOL_VERDICTS + f"""
+SELECT {TICK_COLUMNS} FROM ticks LEFT JOIN symbol_verdicts USING (trade_date, symbol)
+WHERE trade_date IS NOT NULL AND (disagreeing IS NULL OR (disagreeing = 0 AND source_file = first_source))"""),
     "gap_flag": _stored("""
 SELECT trade_date, arg_min(symbol, row(-valid_bars, symbol)) AS top_symbol,
        CAST(epoch(arg_min(gap, row(-valid_bars, symbol))) AS BIGINT) AS longest_gap_seconds,

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from tickbars import schemas
 from tickbars.functions.fields import file_date
 from tickbars.functions.timestamps import EPOCH, parse_timestamp, to_local
-from tickbars.operators import bars, calendar, quality, replication, reports, shaping, status, ticks
-from tickbars.plans.jobs import archive, backfill
+from tickbars.operators import bars, calendar, minutes, quality, replication, reports, shaping, status, ticks
+from tickbars.plans.jobs import archive, archived_dates, backfill, process_days
 from tickbars.registry import feed
 from tickbars.registry.feed import OVERRIDES, SETTINGS
 from tickbars.settings import SourceColumns
@@ -195,7 +195,7 @@ def file_date_(spark, sf):
 
 
 def _scanned(raw: DataFrame) -> DataFrame:
-    return ticks.normalise_ticks(raw, SETTINGS).drop("source_file")
+    return ticks.normalise_ticks(raw, SETTINGS).drop("source_file", "source_path")
 
 
 @query
@@ -289,14 +289,41 @@ def archive_replace(spark, sf):
     store, ticks_ = _store(spark, "replace"), feed.tick_feed(spark, sf)
     archive(store, ticks_, SETTINGS)
     archive(store, ticks_.filter("source_file = 'A' AND day(trade_date) <= 15"), SETTINGS)
-    return store.read(tables.ARCHIVE)
+    return store.read(tables.ARCHIVE).select(*schemas.TICKS.fieldNames())
+
+
+@query
+def archive_same_name(spark, sf):
+    """Files of one name in two folders are two files; that in folder A lands again with fewer days."""
+    store = _store(spark, "same-name")
+    named = feed.tick_feed(spark, sf).withColumn("source_path", F.concat(F.lit("/landing/"), "source_file", F.lit("/ticks.csv")))
+    named = named.withColumn("source_file", F.lit("ticks.csv"))
+    archive(store, named, SETTINGS)
+    archive(store, named.filter("source_path LIKE '%/A/%' AND day(trade_date) <= 15"), SETTINGS)
+    return store.read(tables.ARCHIVE).drop("bucket")
+
+
+@query
+def replay_after_stop(spark, sf):
+    """Candles after file A landed again with fewer days, the run stopped behind the archive, and was repeated."""
+    store, ticks_ = _store(spark, "replay"), feed.tick_feed(spark, sf)
+    fewer = ticks_.filter("source_file = 'A' AND day(trade_date) <= 15")
+
+    def work_out(emptied):
+        dates = archived_dates(store, SETTINGS).unionByName(emptied).distinct()
+        process_days(store, SETTINGS, dates, built_at=FIRST_RUN, csv=False)
+
+    work_out(archive(store, ticks_, SETTINGS))
+    archive(store, fewer, SETTINGS)  # and nothing after it
+    work_out(archive(store, fewer, SETTINGS))
+    return store.read(tables.CANDLES)
 
 
 @query
 def archive_roundtrip(spark, sf):
     store = _store(spark, "archive")
     store.archive(feed.tick_feed(spark, sf))
-    return store.read(tables.ARCHIVE)
+    return store.read(tables.ARCHIVE).select(*schemas.TICKS.fieldNames())
 
 
 # Cleaning -------------------------------------------------------------------
@@ -420,6 +447,22 @@ def gap_flag(spark, sf):
     return quality.gap_flags(quality.validate_candles(feed.imported_bars(spark, sf), SETTINGS), SETTINGS)
 
 
+@query
+def gap_flag_sessions(spark, sf):
+    """The same without the scheduled breaks: the Friday break is no gap."""
+    own = replace(SETTINGS, limits=replace(SETTINGS.limits, gaps_count_breaks=False))
+    return quality.gap_flags(quality.validate_candles(feed.imported_bars(spark, sf), own), own)
+
+
+@query
+def day_minutes(spark, sf):
+    """Distinct minutes by symbol and over the market; bitmaps of two halves of the bars are merged."""
+    own = replace(SETTINGS, limits=replace(SETTINGS.limits, min_day_minutes=40, max_session_minutes=60))
+    bars_ = saved(feed.candle_feed(spark, sf), "bars")
+    halves = [minutes.minute_bitmaps(bars_.filter(F.minute("ts") % 2 == k)) for k in (0, 1)]
+    return minutes.day_minutes(halves[0].unionByName(halves[1]), own)
+
+
 @query
 def top_symbol(spark, sf):
     return quality.top_symbols(feed.candle_feed(spark, sf))
@@ -466,6 +509,18 @@ def replication_audit(spark, sf):
     return replication.replication_audit(_copies(spark, sf))
 
 
+@query
+def replication_audit_symbols(spark, sf):
+    """Verdicts by symbol and day, as for files of one symbol each."""
+    return replication.replication_audit(_copies(spark, sf), replication.BY_SYMBOL)
+
+
+@query
+def collapse_copies_symbols(spark, sf):
+    verdicts = replication.replication_audit(_copies(spark, sf), replication.BY_SYMBOL)
+    return replication.collapse_copies(feed.tick_feed(spark, sf), verdicts, replication.BY_SYMBOL)
+
+
 @query
 def drop_conflicts(spark, sf):
     verdicts = replication.replication_audit(_copies(spark, sf))
@@ -567,6 +622,19 @@ def upsert_candles(spark, sf):
     return store.read(tables.CANDLES)
 
 
+@query
+def guarded_upsert(spark, sf):
+    """Bars of which some have no volume, break a rule or come twice: what is stored, and what was set aside."""
+    store = _store(spark, "guarded")
+    given = feed.repeated_bars(spark, sf).withColumns(
+        {"volume": F.when(F.minute("ts") % 11 != 0, F.col("volume")), "spike_flag": F.lit(False)}
+    )
+    store.guarded_upsert(tables.CANDLES, given)
+    stored = store.read(tables.CANDLES).withColumn("rule", F.lit(None).cast("string"))
+    aside = store.read(tables.BREACHES).select("rule", F.from_json("row", schemas.CANDLES, {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("bar"))
+    return stored.unionByName(aside.select("bar.*", "rule")).drop("spike_flag")
+
+
 def _stored_status(spark: SparkSession, sf: str) -> Store:
     store = _store(spark, "status")
     first = status.symbol_day_status(feed.candle_feed(spark, sf), _stamp(FIRST_RUN)).filter(F.day("trade_date") <= 20)

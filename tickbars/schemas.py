@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,7 +63,7 @@ REJECTS = _schema(
     "volume BIGINT, source_file STRING, defect STRING, reject_date DATE"
 )
 
-DEDUP_LOG = _schema("trade_date DATE, n_copies BIGINT, action STRING, detail STRING, kept_source STRING")
+DEDUP_LOG = _schema("trade_date DATE, symbol STRING, n_copies BIGINT, action STRING, detail STRING, kept_source STRING")
 
 COVERAGE = _schema(
     "trade_date DATE, day_of_week STRING, status STRING, reason STRING, minutes_count BIGINT, symbols_count BIGINT"
@@ -74,15 +74,28 @@ QUARANTINE = _schema(
     "low DOUBLE, close DOUBLE, volume BIGINT, had_trade BOOLEAN, spike_flag BOOLEAN, quarantine_date DATE"
 )
 
+BREACHES = _schema("table_name STRING, trade_date DATE, rule STRING, row STRING")
+
 DATES = _schema("trade_date DATE")
 
 PENDING_DAYS = _schema("trade_date DATE, emptied BOOLEAN")
 
 DAY_SYMBOLS = _schema("symbol STRING, trade_date DATE")
 
-FILES = _schema("source_file STRING")
+# A file is known by its path; its name is for people and for the date in it.
+FILES = _schema("source_path STRING, source_file STRING")
+
+ARCHIVED = T.StructType([*TICKS.fields, *_schema("source_path STRING, bucket INT").fields])
+
+INGESTED = _schema("source_path STRING, source_file STRING, trade_date DATE, bucket INT, n_ticks BIGINT")
 
-INGESTED = _schema("source_file STRING, trade_date DATE, n_ticks BIGINT")
+LISTED = _schema("source_path STRING, bucket INT")
+
+SPOTS = _schema("trade_date DATE, bucket INT")
+
+FILE_PROBLEMS = _schema(
+    "source_path STRING, source_file STRING, trade_date DATE, problem STRING, n_rows BIGINT, bucket INT"
+)
 
 PROBLEMS = _schema("source_file STRING, trade_date DATE, problem STRING, n_rows BIGINT")
 
@@ -91,6 +104,8 @@ TRADE_SLICES = _schema(
     "n_trades BIGINT, n_spikes BIGINT, open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume BIGINT"
 )
 
+REPEATED_KEY = "repeated_key"
+
 COPY_CANDLES = _schema(
     "trade_date DATE, source_file STRING, symbol STRING, ts TIMESTAMP_NTZ, "
     "open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume BIGINT"
@@ -100,6 +115,9 @@ CANDLE_KEY = ("symbol", "ts")
 STATUS_KEY = ("symbol", "trade_date")
 CANDLE_REQUIRED = ("symbol", "ts", "open", "high", "low", "close", "volume", "had_trade")
 STATUS_REQUIRED = ("symbol", "trade_date", "status")
+# What a column gets that a row leaves empty.
+CANDLE_DEFAULTS = (("volume", 0), ("had_trade", True))
+STATUS_DEFAULTS = (("minutes_count", 0),)
 MARKET = "*"  # symbol of a market-wide status row
 
 
@@ -112,8 +130,3 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             for f in schema.fields
         )
     )
-
-
-def apply_defaults(df: DataFrame, **defaults: Column) -> DataFrame:
-    """Fill nulls of the named columns, as column defaults of a table would."""
-    return df.withColumns({name: F.coalesce(F.col(name), value) for name, value in defaults.items()})

@@ -72,7 +72,12 @@ class Limits:
     spike_pct: float = 0.20
     min_session_minutes: int = 60
     min_symbol_minutes: int = 10
+    # Band of distinct minutes that a full day has; None sets no upper end.
+    min_day_minutes: int = 60
+    max_session_minutes: int | None = None
     gap_seconds: int = 7200
+    # Whether the time between two windows of a session counts as a part of a gap.
+    gaps_count_breaks: bool = True
     # Days kept before the first and after the last date in the file names; None keeps all.
     stale_days_before: int | None = 7
     stale_days_after: int | None = 1

@@ -42,6 +42,19 @@ def make_dir(spark: SparkSession, path: str) -> None:
     fs.mkdirs(target)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    target, fs = _file_system(spark, path)
+    return fs.exists(target) and fs.getFileStatus(target).isDirectory()
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``."""
+    target, fs = _file_system(spark, path)
+    if not fs.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in a new shared folder.
 

@@ -3,22 +3,33 @@
 Every table is rewritten by partition with dynamic overwrite, so a task or an
 executor can fail and rerun, and repeating a whole job gives the same tables.
 One writer at a time: the overwrite is not atomic across partitions.
+
+The archive is laid out by day and by a bucket of the file's path, so a day has
+``buckets`` folders at most, however many files it comes from. A manifest
+(``INGESTED``) lists which days each path brought, and in which bucket. When a
+file comes again, the folders it touches are written anew with the rows of the
+other files in them. That work is written down first, with all the rows it
+needs, in a folder of ``_intents``; a call that finds one there finishes it
+before it does anything else. The days that gain or lose ticks are noted in
+``PENDING`` before any folder changes and leave it when they are worked out.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickbars import schemas
-from tickbars.operators import merge
-from tickbars.sources.paths import delete_path, path_exists
+from tickbars.operators import merge, rules
+from tickbars.sources.paths import delete_path, folders_in, path_exists
 
 CSV_COLUMNS = ("symbol", "minute_local", "ts", "open", "high", "low", "close", "volume", "had_trade")
 
@@ -31,10 +42,10 @@ class Table:
     key: tuple[str, ...] = ()
 
 
-ARCHIVE = Table("archive", schemas.TICKS, ("trade_date", "source_file"))
-INGESTED = Table("ingested", schemas.INGESTED, ("source_file",))
+ARCHIVE = Table("archive", schemas.ARCHIVED, ("trade_date", "bucket"))
+INGESTED = Table("ingested", schemas.INGESTED, ("bucket",))
 REJECTS = Table("rejects", schemas.REJECTS, ("reject_date",))
-PROBLEMS = Table("ingest_problems", schemas.PROBLEMS, ("source_file",))
+PROBLEMS = Table("ingest_problems", schemas.FILE_PROBLEMS, ("bucket",))
 STALE = Table("stale_days", schemas.PROBLEMS, ("trade_date",))
 PENDING = Table("pending_days", schemas.PENDING_DAYS)
 CLEAN_STATS = Table("clean_stats", schemas.CLEAN_STATS)
@@ -43,18 +54,31 @@ DAY_STATUS = Table("day_status", schemas.DAY_STATUS, key=schemas.STATUS_KEY)
 VALIDATION = Table("validation_report", schemas.DAY_STATS)
 QUARANTINE = Table("quarantine", schemas.QUARANTINE, ("quarantine_date",))
 DEDUP_LOG = Table("dedup_log", schemas.DEDUP_LOG)
+BREACHES = Table("rule_breaches", schemas.BREACHES, ("table_name", "trade_date"))
+RULES = {CANDLES.name: rules.CANDLE_RULES, DAY_STATUS.name: rules.STATUS_RULES}
+
+
+#: Folders of the archive per day, and of the manifest.
+BUCKETS = 16
 
 
 def _always(column: str, schema: T.StructType) -> Column:
     """A comparison that holds for every value that is not null."""
-    lowest = F.lit("0000-01-01").cast("date") if schema[column].dataType == T.DateType() else F.lit("")
+    kind = schema[column].dataType
+    lowest = {T.DateType(): F.lit("0000-01-01").cast("date"), T.IntegerType(): F.lit(-(2**31))}.get(kind, F.lit(""))
     return F.col(column) >= lowest
 
 
+def _same(left: DataFrame, right: DataFrame, *columns: str) -> Column:
+    """Equality of columns, nulls being equal."""
+    return reduce(and_, (left[c].eqNullSafe(right[c]) for c in columns))
+
+
 class Store:
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     def path(self, table: Table) -> str:
         return f"{self.root}/{table.name}"
@@ -97,13 +121,103 @@ class Store:
             .parquet(self.path(table))
         )
 
-    def archive(self, ticks: DataFrame, cluster: bool = False) -> None:
-        """Raw ticks by day and file.
+    def _bucket(self, path: str) -> Column:
+        return F.pmod(F.xxhash64(path), F.lit(self.buckets)).cast("int").alias("bucket")
 
-        Files of one day each need no shuffle. Others do (``cluster``), or
-        every task would write a small file for every day.
+    def archive(
+        self, ticks: DataFrame, cluster: bool = False, files: DataFrame | None = None, problems: DataFrame | None = None
+    ) -> None:
+        """Make ``ticks`` all that the archive has of their files, and of ``files`` and the files with ``problems``.
+
+        A file is known by ``source_path``, or by ``source_file`` where the
+        ticks have no path. Files of one day each need no shuffle. Others do
+        (``cluster``), or every task would write a small file for every day.
         """
-        self.overwrite_partitions(ARCHIVE, ticks, cluster)
+        self.recover()
+        folder = f"{self.root}/_intents/{uuid.uuid4().hex}"
+        path = F.coalesce(*(F.col(c) for c in ("source_path", "source_file") if c in ticks.columns), F.lit(""))
+        new = ticks.withColumn("source_path", path).withColumn("bucket", self._bucket("source_path"))
+        new = self._kept(folder, "ticks", lambda: new, schemas.ARCHIVED)
+        key = ["source_path", "source_file", "trade_date", "bucket"]
+        brought = self._kept(folder, "brought", lambda: new.groupBy(*key).agg(F.count("*").alias("n_ticks")), schemas.INGESTED)
+        listed = brought.select("source_path")
+        if problems is not None:
+            found = problems.withColumn("bucket", self._bucket("source_path"))
+            listed = listed.unionByName(self._kept(folder, "problems", lambda: found, schemas.FILE_PROBLEMS).select("source_path"))
+        if files is not None:
+            listed = listed.unionByName(files.select("source_path"))
+        listed = listed.distinct().withColumn("bucket", self._bucket("source_path"))
+        self._kept(folder, "files", lambda: listed, schemas.LISTED)  # with this the intent is complete
+        self._carry_out(folder, cluster)
+
+    def recover(self) -> None:
+        """Finish what an earlier call wrote down and did not finish; drop what it did not write down to the end."""
+        for name in folders_in(self.spark, f"{self.root}/_intents"):
+            folder = f"{self.root}/_intents/{name}"
+            if path_exists(self.spark, f"{folder}/files/_SUCCESS"):
+                self._carry_out(folder, cluster=True)
+            else:
+                delete_path(self.spark, folder)
+
+    def _kept(self, folder: str, name: str, rows: Callable[[], DataFrame], schema: T.StructType) -> DataFrame:
+        """A part of an intent, written unless it is there; it must not change once folders of tables do."""
+        path = f"{folder}/{name}"
+        if not path_exists(self.spark, f"{path}/_SUCCESS"):
+            schemas.conform(rows(), schema).write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def _carry_out(self, folder: str, cluster: bool) -> None:
+        """Bring archive, manifest and problems to what the intent says. Every step can be repeated."""
+
+        def part(name: str, schema: T.StructType) -> DataFrame:
+            there = path_exists(self.spark, f"{folder}/{name}/_SUCCESS")
+            return self.spark.read.schema(schema).parquet(f"{folder}/{name}") if there else self.spark.createDataFrame([], schema)
+
+        new, brought, files = part("ticks", schemas.ARCHIVED), part("brought", schemas.INGESTED), part("files", schemas.LISTED)
+        spot = ["trade_date", "bucket"]
+        manifest = self.read(INGESTED)
+        known = manifest.join(files.select("source_path"), "source_path", "left_semi")
+        stale = known.join(brought, _same(known, brought, "source_path", "trade_date"), "left_anti")
+        # Days go by the manifest, which changes last: a repeated call finds the same ones.
+        self.note_days(brought, stale)
+        if not self.exists(INGESTED):  # nothing to keep and nothing to drop
+            self.overwrite_partitions(ARCHIVE, new, cluster)
+        else:
+            spots = self._kept(folder, "spots", lambda: brought.select(*spot).union(known.select(*spot)).distinct(), schemas.SPOTS)
+            others = manifest.join(files.select("source_path"), "source_path", "left_anti").select(*spot).distinct()
+            shared = self._kept(folder, "shared", lambda: others.join(spots, _same(others, spots, *spot), "left_semi"), schemas.SPOTS)
+            kept = self._kept(folder, "kept", lambda: self._rows_at(shared).join(files.select("source_path"), "source_path", "left_anti"), schemas.ARCHIVED)
+            self.overwrite_partitions(ARCHIVE, new.unionByName(kept), cluster)
+            filled = brought.select(*spot).union(shared).distinct()
+            self.drop_partitions(ARCHIVE, spots.join(filled, _same(spots, filled, *spot), "left_anti"))
+        self._replace_listed(folder, PROBLEMS, part("problems", schemas.FILE_PROBLEMS), files)
+        self._replace_listed(folder, INGESTED, brought, files)
+        delete_path(self.spark, folder)
+
+    def _rows_at(self, spots: DataFrame) -> DataFrame:
+        """Rows of the archive in some of its folders; only those are read."""
+        dated = self.read(ARCHIVE, spots.where("trade_date IS NOT NULL")).join(spots, ["trade_date", "bucket"], "left_semi")
+        undated = self.read(ARCHIVE).where("trade_date IS NULL").join(spots.where("trade_date IS NULL").select("bucket"), "bucket", "left_semi")
+        return dated.select(*schemas.ARCHIVED.fieldNames()).unionByName(undated.select(*schemas.ARCHIVED.fieldNames()))
+
+    def _replace_listed(self, folder: str, table: Table, rows: DataFrame, files: DataFrame) -> None:
+        """Make ``rows`` all that a table by bucket has of ``files``."""
+        if not self.exists(table):
+            self.overwrite_partitions(table, rows)
+            return
+        touched = files.select("bucket").distinct()
+        old = self.read(table, touched).join(files.select("source_path"), "source_path", "left_anti")
+        whole = rows.unionByName(self._kept(folder, f"kept_{table.name}", lambda: old, table.schema))
+        self.overwrite_partitions(table, whole)
+        self.drop_partitions(table, touched.join(whole.select("bucket").distinct(), "bucket", "left_anti"))
+
+    def note_days(self, touched: DataFrame, emptied: DataFrame) -> None:
+        """Add days to PENDING, where they stay until they are worked out; ``emptied`` ones have lost ticks."""
+        new = touched.where("trade_date IS NOT NULL").select("trade_date", F.lit(False).alias("emptied"))
+        lost = emptied.where("trade_date IS NOT NULL").select("trade_date", F.lit(True).alias("emptied"))
+        new = new.unionByName(lost).unionByName(self.read(PENDING))
+        with self.staged(new.groupBy("trade_date").agg(F.max("emptied").alias("emptied")), schemas.PENDING_DAYS) as days:
+            self.overwrite_partitions(PENDING, days)
 
     def replace_days(self, table: Table, rows: DataFrame, dates: DataFrame, stage: bool = True) -> None:
         """Make ``rows`` the whole content of ``dates``; days without rows disappear.
@@ -136,8 +250,24 @@ class Store:
             with self.staged(merge.upsert(current, new, table.key), table.schema) as merged:
                 self.overwrite_partitions(table, merged)
 
+    def guarded_upsert(self, table: Table, updates: DataFrame) -> None:
+        """Upsert of the rows that keep the table's rules, with its defaults; the others go to BREACHES.
+
+        The breaches of a table are those of the last write of each day.
+        """
+        schema = T.StructType([*table.schema.fields, T.StructField("rule", T.StringType())])
+        given = schemas.conform(updates, table.schema)
+        with self.staged(rules.judged(given, RULES[table.name]), schema) as judged:
+            found = rules.breaches(judged, table.name)
+            written = judged.select("trade_date").distinct().withColumn("table_name", F.lit(table.name))
+            self.overwrite_partitions(BREACHES, found)
+            clean = written.join(broken := found.select("trade_date").distinct(), _same(written, broken, "trade_date"), "left_anti")
+            if self.exists(BREACHES):
+                self.drop_partitions(BREACHES, clean)
+            self.upsert(table, rules.accepted(judged), stage=False)
+
     def drop_partitions(self, table: Table, gone: DataFrame) -> None:
-        """Remove whole partitions; ``gone`` has their values, a few rows that the driver walks through."""
+        """Remove whole partitions; ``gone`` has their values, which the driver walks through."""
         names = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
         for row in gone.select(*table.partition).distinct().toLocalIterator():
             parts = []

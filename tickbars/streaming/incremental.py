@@ -13,22 +13,21 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickbars.operators import status, ticks
-from tickbars.plans.jobs import archive, archived_dates, process_days, run_timestamp
-from tickbars.schemas import FILES, PENDING_DAYS, PROBLEMS
+from tickbars.operators import status
+from tickbars.plans.jobs import archived_dates, emptied_dates, ingest_rows, process_days, run_timestamp
 from tickbars.settings import Settings
 from tickbars.sources import store as tables
-from tickbars.sources.files import csv_schema, landed_files, map_columns, read_problems, read_sqlite_ticks
+from tickbars.sources.files import csv_cells, csv_schema, landed_files, numbered, sqlite_files
 from tickbars.sources.paths import make_dir
+from tickbars.sources.sqlite import read_sqlite
 from tickbars.sources.store import Store
 
 # Columns of Spark's binary file source.
 BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
-def _landing_stream(
-    spark: SparkSession, landing: str, settings: Settings, columns: tuple[str, ...] | None, files_per_batch: int | None
-) -> DataFrame:
+def _landing_stream(spark: SparkSession, landing: str, settings: Settings, files_per_batch: int | None) -> DataFrame:
+    """The rows of new CSV files, or the paths of new SQLite files."""
     # Files may come late with an old modification time; none is too old.
     reader = spark.readStream.option("pathGlobFilter", settings.glob).option("maxFileAge", "36500d")
     if files_per_batch:
@@ -36,24 +35,7 @@ def _landing_stream(
     if settings.source_format == "sqlite":
         # Only the paths are used; the file content is never loaded here.
         return reader.format("binaryFile").schema(BINARY_FILE).load(landing).select("path")
-    schema = csv_schema(settings) if columns is None else ", ".join(f"`{c}` STRING" for c in columns)
-    return (
-        reader.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .csv(landing)
-        .withColumn("source_file", F.col("_metadata.file_name"))
-    )
-
-
-def _raw_ticks(spark: SparkSession, batch: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(ticks, problems, files) of a batch."""
-    if settings.source_format == "csv":
-        raw = map_columns(batch, settings)
-        return raw, spark.createDataFrame([], PROBLEMS), raw.select("source_file").distinct()
-    paths = [row.path for row in batch.collect()]  # names of the new files
-    names = batch.select(F.element_at(F.split("path", "/"), -1).alias("source_file")).distinct()
-    return read_sqlite_ticks(spark, paths, settings), read_problems(spark, paths, settings), names
+    return csv_cells(reader.schema(csv_schema()).option("header", False).csv(landing))
 
 
 def incremental_update(
@@ -66,18 +48,17 @@ def incremental_update(
     write_mode: str = "replace_day",
     built_at: datetime | None = None,
     csv: bool = True,
-    csv_columns: tuple[str, ...] | None = None,
     files_per_batch: int | None = None,
     target_dates: Sequence[date] | None = None,
     expected: DataFrame | None = None,
 ) -> None:
     """Take in the files that are new since the last call, then stop.
 
-    ``csv_columns`` is the header of the CSV files if it is not the default
-    order of symbol, time, price, volume. With ``target_dates`` only these
-    days are worked out; the others stay pending for later calls, also without
-    new files, and also if they were worked out before. Of ``expected`` days those
-    that brought nothing are recorded (see ``record_absent_days``).
+    With ``target_dates`` only these days are worked out; the others stay
+    pending for later calls, also without new files, and also if they were
+    worked out before. Of ``expected`` days those that brought nothing are
+    recorded (see ``record_absent_days``). A call that stops anywhere is made
+    good by the next one.
     """
     make_dir(spark, landing)
 
@@ -86,29 +67,31 @@ def incremental_update(
         done = store.read(tables.VALIDATION).select("trade_date")
         # A later file can widen the range, so days not done yet count too.
         pending = in_range.join(done, "trade_date", "left_anti")
-        emptied = noted.where("emptied").select("trade_date")
-        dates = in_range.join(noted, "trade_date", "left_semi").unionByName(pending).unionByName(emptied)
+        dates = in_range.join(noted, "trade_date", "left_semi").unionByName(pending).unionByName(emptied_dates(store))
         return dates.filter(F.col("trade_date").isin(*target_dates)) if target_dates else dates
 
     def work_out(dates: DataFrame) -> None:
         process_days(store, settings, dates, replication_mode, write_mode, built_at, csv)
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        raw, problems, names = _raw_ticks(batch.sparkSession, batch, settings)
-        with store.staged(names, FILES) as files:
-            emptied = archive(store, ticks.normalise_ticks(raw, settings), settings, files, problems)
-            note_days(store, store.read(tables.INGESTED, files), emptied)
-            work_out(due())
+        # The frames of a batch belong to its own session.
+        if settings.source_format == "sqlite":
+            files = sqlite_files(batch)
+            ingest_rows(store, read_sqlite(files, settings), settings, files)
+        else:
+            ingest_rows(store, numbered(batch), settings)
+        work_out(due())
 
     query = (
-        _landing_stream(spark, landing, settings, csv_columns, files_per_batch)
+        _landing_stream(spark, landing, settings, files_per_batch)
         .writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    # Without new files there is no batch, but days that an earlier call left may be wanted now.
+    # Without new files there is no batch, but an earlier call may have left work, or days that are wanted now.
+    store.recover()
     left = due()
     if not left.isEmpty():
         work_out(left)
@@ -116,14 +99,6 @@ def incremental_update(
         record_absent_days(spark, landing, store, expected, settings, built_at)
 
 
-def note_days(store: Store, touched: DataFrame, emptied: DataFrame) -> None:
-    """Add days to PENDING, where they stay until ``process_days`` is through with them."""
-    new = touched.where("trade_date IS NOT NULL").select("trade_date", F.lit(False).alias("emptied"))
-    new = new.unionByName(emptied.select("trade_date", F.lit(True).alias("emptied"))).unionByName(store.read(tables.PENDING))
-    with store.staged(new.groupBy("trade_date").agg(F.max("emptied").alias("emptied")), PENDING_DAYS) as days:
-        store.overwrite_partitions(tables.PENDING, days)
-
-
 def record_absent_days(
     spark: SparkSession,
     landing: str,
