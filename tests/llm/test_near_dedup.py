@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tickbars.llm.components import components
 from tickbars.llm.near_dedup import NearDedup, near_components
 
 
@@ -68,6 +69,28 @@ def test_null_ids_and_repeated_rows(spark):
     )
 
 
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(3, a), (5, a), (5, b), (6, b + " more"), (7, "c " * 9)]
+    found = near_components(spark.createDataFrame(rows, "doc_id long, text string"), details=True)
+    assert sorted((r.doc_id, r.component_id, r.kept, r.is_head) for r in found.collect()) == [
+        (3, 3, True, True), (5, 3, False, True), (5, 5, True, True), (6, 5, False, False), (7, 7, True, True)
+    ]
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_components_in_one_task_and_in_rounds(spark, few):
+    draw = random.Random(4)
+    edges = [(draw.randrange(400), draw.randrange(400)) for _ in range(300)] + [(k, k + 1) for k in range(1000, 1040)] + [(5, 5)]
+    found = components(spark.createDataFrame(edges, "a long, b long"), few).collect()
+    root = {x: x for e in edges for x in e if e[0] != e[1]}
+    for _ in range(60):
+        for a, b in edges:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    assert {r.node: r.component for r in found} == root and len(found) == len(root)
+
+
 def test_empty_table(spark):
     assert near_components(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

@@ -113,20 +113,21 @@ def _features(batches, spec: NearDedup) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 part.column("doc_id"),
+                part.column("text_hash"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(_keys(sets), pa.binary()),
                 pa.array(list(bucket.T.view(np.int64)), pa.list_(pa.int64())),
                 pa.array(list(sketch), pa.list_(pa.int64())),
             ],
-            names=["doc_id", "n_shingles", "key", "buckets", "sketch"],
+            names=["doc_id", "text_hash", "n_shingles", "key", "buckets", "sketch"],
         )
 
 
 def features(docs: DataFrame, spec: NearDedup) -> DataFrame:
-    """Per row of (doc_id, text): size and key of its set, its buckets and its sketch."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    """Per row of (doc_id, text): a hash of the text, size and key of its set, its buckets and its sketch."""
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
         lambda batches: _features(batches, spec),
-        "doc_id long, n_shingles long, key binary, buckets array<long>, sketch array<long>",
+        "doc_id long, text_hash long, n_shingles long, key binary, buckets array<long>, sketch array<long>",
     )
 
 
@@ -136,10 +137,10 @@ def _full_sets(docs: DataFrame, spec: NearDedup) -> DataFrame:
             sets = _sets(*shingle_hashes(part.column("text"), spec.shingle))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(_keys(sets), pa.binary()), binaries(s.tobytes() for s in sets)],
-                names=["node", "key", "members"],
+                names=["first_id", "key", "members"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "node long, key binary, members binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "first_id long, key binary, members binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -309,25 +310,31 @@ def _dense_links(dense: DataFrame, sets: DataFrame, spec: NearDedup) -> DataFram
     return rows.mapInArrow(run, "a long, b long")
 
 
-def near_components(docs: DataFrame, spec: NearDedup = NearDedup()) -> DataFrame:
+def near_components(docs: DataFrame, spec: NearDedup = NearDedup(), details: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     Documents are linked at ``percent`` similarity; ``component_id`` is the
-    smallest doc_id a document reaches. Rows sharing a doc_id count as one
-    document; a null doc_id never represents others and is never kept.
+    smallest doc_id a document reaches. Every row is a document of its own,
+    also where rows share a doc_id. ``details`` adds ``key``, which names the
+    set (null without words), ``text_hash``, and ``is_head``, which marks the
+    rows with the set that stands for its component. A null doc_id never represents others and is never kept.
     """
     made = saved(features(docs, spec), "features")
     classes = made.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(
-        F.min("doc_id").alias("node"), F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("first_id"), F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch")
     )
-    classes = saved(classes, "classes")
+    # Numbers in the order of (first_id, key): unique for a class even where ids are repeated.
+    order = ["first_id", "key"]
+    classes = classes.repartitionByRange(*order).sortWithinPartitions(*order)
+    classes = saved(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     spread = classes.select("node", F.explode("buckets").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = saved(spread.join(shared, "bucket").select("bucket", "node"), "members")
     nodes = members.select("node").distinct()
-    candidates = docs.select(F.col("doc_id").cast("long"), "text").join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+    named = classes.select("key", "first_id", "node").join(nodes, "node", "left_semi")
+    candidates = docs.select(F.col("doc_id").cast("long"), "text").join(named.select(F.col("first_id").alias("doc_id")), "doc_id", "left_semi")
     full = _full_sets(candidates, spec)
-    full = saved(full.join(classes.select("key", "node"), ["key", "node"], "left_semi").dropDuplicates(["key", "node"]).drop("key"), "sets")
+    full = saved(full.join(named, ["key", "first_id"]).dropDuplicates(["node"]).select("node", "members"), "sets")
 
     links, labels, tried = full.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0), None, None
 
@@ -363,10 +370,14 @@ def near_components(docs: DataFrame, spec: NearDedup = NearDedup()) -> DataFrame
         linked(_confirmed(near, full, spec.percent).union(_dense_links(dense, full, spec)))
 
     known = classes.select("key", "node").join(labels, "node", "left")
-    known = known.select("key", F.coalesce("component", "node").alias("component"))
-    return made.select("doc_id", "n_shingles", "key").join(known, "key", "left").select(
+    known = known.select("key", "node", F.coalesce("component", "node").alias("component"))
+    heads = classes.select(F.col("node").alias("component"), F.col("first_id").alias("component_id"))
+    known = known.join(heads, "component").select("key", "component_id", (F.col("node") == F.col("component")).alias("is_head"))
+    component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return made.select("doc_id", "n_shingles", "key", "text_hash").join(known, "key", "left").select(
         "doc_id",
         "n_shingles",
-        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
-        F.coalesce(F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component")) == F.col("doc_id"), F.lit(False)).alias("kept"),
+        component.alias("component_id"),
+        F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"),
+        *(["key", "text_hash", F.coalesce("is_head", F.lit(True)).alias("is_head")] if details else []),
     )
