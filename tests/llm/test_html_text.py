@@ -1,6 +1,10 @@
+import time
+
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
-from tickbars.llm.html_text import extract, main_text
+from tickbars.llm.html_text import _Block, _decided, extract, main_text
 
 LONG = "This is the main part of the story, and it has a lot of words in it that the reader will want to see."
 MORE = "Another paragraph that is part of the story and it is long enough to be counted as text, with the usual words."
@@ -56,6 +60,33 @@ def test_long_and_deep_pages():
     assert main_text(deep) == LONG * 2000
 
 
+@pytest.mark.parametrize("page", ["<p>a</p>" * 100_000, "<div>" * 100_000, "<article>" + "<li>x" * 100_000, "<b>" * 100_000 + "</i>" * 100_000])
+def test_time_grows_with_the_page_not_with_its_square(page):
+    began = time.process_time()
+    main_text(page)
+    assert time.process_time() - began < 20
+
+
+def nearest_decided(found, k, step):
+    """The nearest decided block of the same article, by looking at one after the other."""
+    at = k + step
+    while 0 <= at < len(found):
+        if found[at].label and found[at].article == found[k].article and not (found[at].article and found[at].bad):
+            return at
+        at += step
+    return None
+
+
+@given(st.lists(st.tuples(st.sampled_from(["", "good", "bad"]), st.integers(0, 2), st.booleans()), max_size=30))
+def test_neighbours_are_the_nearest_decided_ones(rows):
+    found = [_Block(text="x", label=a, article=b, bad=c) for a, b, c in rows]
+    for step in (1, -1):
+        near = _decided(found, step)
+        for k, b in enumerate(found):
+            if not b.label:
+                assert near[k] == nearest_decided(found, k, -step)
+
+
 def test_extract_keeps_every_row(spark):
     rows = [(1, "u", f"<article>{LONG}</article>", 5), (1, "u", f"<article>{LONG}</article>", 5), (None, None, None, None), (2, "", "", 1)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string, text int")

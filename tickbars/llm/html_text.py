@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -149,6 +149,8 @@ def blocks(page: str) -> list[_Block]:
     """The blocks of a page in order, with the elements around them taken into account."""
     out: list[_Block] = []
     stack: list[tuple[str, bool, int, bool]] = []  # name, aside, article, link
+    places: dict[str, list[int]] = {}  # where the open elements of a name stand in the stack
+    open_blocks: list[int] = []
     current, bad, article, link, heading, articles, breaks = _Block(), False, 0, False, False, 0, 0
 
     def close() -> None:
@@ -165,12 +167,19 @@ def blocks(page: str) -> list[_Block]:
         heading = any(len(s[0]) == 2 and s[0][0] == "h" and s[0][1].isdigit() for s in stack[-4:])
 
     def pop(k: int) -> None:
-        ends = any(s[0] in BLOCK for s in stack[k:])
+        ends = bool(open_blocks) and open_blocks[-1] >= k
+        for name, *_ in stack[k:]:
+            places[name].pop()
+            if name in BLOCK:
+                open_blocks.pop()
         del stack[k:]
         restore()
         if ends:
             close()
 
+    def last(names: Iterable[str]) -> int | None:
+        return max((places[n][-1] for n in names if places.get(n)), default=None)
+
     def words(text: str) -> None:
         nonlocal breaks
         current.parts.append(text)
@@ -193,7 +202,7 @@ def blocks(page: str) -> list[_Block]:
         if not name:
             continue
         if found[1]:
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+            k = last((name,))
             if k is not None:
                 pop(k)
             continue
@@ -215,11 +224,11 @@ def blocks(page: str) -> list[_Block]:
                 close()
             continue
         if name in ENDS_P:
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), None)
-            if k is not None and not any(s[0] in BLOCK for s in stack[k + 1 :]):
+            k = last(("p",))
+            if k is not None and open_blocks[-1] == k:
                 pop(k)
         if name in SIBLINGS:
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in SIBLINGS[name] or stack[i][0] in SCOPES), None)
+            k = last(SIBLINGS[name] | SCOPES)
             if k is not None and stack[k][0] not in SCOPES:
                 pop(k)
         if name in VOID:
@@ -233,6 +242,9 @@ def blocks(page: str) -> list[_Block]:
         if not aside and not article and _is_article(name, attributes):
             articles += 1
             article = articles
+        places.setdefault(name, []).append(len(stack))
+        if name in BLOCK:
+            open_blocks.append(len(stack))
         stack.append((name, aside, article, link or name == "a"))
         restore()
         if name in BLOCK:
@@ -241,6 +253,18 @@ def blocks(page: str) -> list[_Block]:
     return out
 
 
+def _decided(found: list[_Block], step: int) -> list[int | None]:
+    """For each block the nearest decided one of its article on one side; one pass."""
+    last: dict[int, int] = {}
+    out: list[int | None] = [None] * len(found)
+    for k in range(len(found))[::step]:
+        b = found[k]
+        out[k] = last.get(b.article)
+        if b.label and not (b.article and b.bad):
+            last[b.article] = k
+    return out
+
+
 def label(found: list[_Block], rules: BlockRules) -> list[_Block]:
     """The blocks that are main text."""
     marked = any(b.article and not b.bad for b in found)
@@ -252,7 +276,7 @@ def label(found: list[_Block], rules: BlockRules) -> list[_Block]:
             continue
         tokens = WORD.findall(b.text.lower())
         stop = sum(t in STOP for t in tokens) / max(len(tokens), 1)
-        if b.text.startswith("©"):
+        if b.text.startswith("©") and len(b.text) < rules.short:
             b.label = "bad"
         elif b.heading or len(b.text) < rules.short:
             b.label = ""
@@ -260,12 +284,12 @@ def label(found: list[_Block], rules: BlockRules) -> list[_Block]:
             b.label = "good"
         elif stop < rules.few:
             b.label = "bad"
+    behind, ahead = _decided(found, 1), _decided(found, -1)
     decided = [b.label for b in found]
     for k, b in enumerate(found):
         if b.label:
             continue
-        before = next((i for i in range(k - 1, -1, -1) if decided[i] and found[i].article == b.article and (not b.article or not found[i].bad)), None)
-        after = next((i for i in range(k + 1, len(found)) if decided[i] and found[i].article == b.article and (not b.article or not found[i].bad)), None)
+        before, after = behind[k], ahead[k]
         if before is None and after is None:
             b.label = "good" if b.article else "bad"
         elif b.article:
