@@ -1,3 +1,4 @@
+import base64
 import glob
 import gzip
 import hashlib
@@ -74,3 +75,25 @@ def test_truncated_and_mixed_archives(packed):
 def test_both_forms_in_one_archive():
     found = list(read_archive(archive(True)[0] + archive(False)[1] + b"\r\n" + archive(True)[2]))
     assert [_row(r)[0] for r in found] == [0, 1, 2]
+
+
+def foreign(*headers, block=b"HTTP/1.1 200 OK\r\n\r\nbody"):
+    lines = [b"WARC/1.1", *headers, b"WARC-Record-ID: <urn:uuid:1>", b"Content-Length: %d" % len(block)]
+    return b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_digests_and_targets_of_other_writers():
+    sha = hashlib.sha1(b"body")
+    stated = [b"sha1:" + sha.hexdigest().encode(), b"SHA1:" + sha.hexdigest().upper().encode(), b"sha1:" + base64.b32encode(sha.digest()), b"md5:abc", b"sha1:?", b"no colon"]
+    rows = [_row(next(iter(read_archive(foreign(b"WARC-Type: revisit", b"WARC-Payload-Digest: " + d))))) for d in stated]
+    assert [r[4] for r in rows] == [sha.hexdigest()] * 3 + [None] * 3
+    for text in (b"%%%", b"/w=="):
+        record = next(iter(read_archive(foreign(b"WARC-Type: response", b"X-Target-Text: " + text, b"WARC-Target-URI: http://a/"))))
+        assert _row(record)[1] == "http://a/"
+
+
+def test_archives_of_any_name_are_read(spark, tmp_path):
+    (tmp_path / "crawl-0001.warc.gz").write_bytes(b"".join(archive(True)))
+    (tmp_path / "plain.warc").write_bytes(b"".join(archive(False)) + b"rubbish")
+    records, gaps = read_archives(spark, str(tmp_path))
+    assert records.count() == 12 and gaps.count() == 1

@@ -53,7 +53,9 @@ def op2_html_text(spark: SparkSession, sf: str) -> DataFrame:
 def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_dir(spark, "warc")
     write_archives(spark.read.parquet(f"{sf}/pages.parquet"), folder)
-    records, _ = read_archives(spark, folder)
+    records, gaps = read_archives(spark, folder)
+    if not gaps.isEmpty():
+        raise RuntimeError(f"unreadable bytes in the archives just written: {gaps.first()}")
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 

@@ -204,15 +204,31 @@ def _page(value: str | None) -> int | None:
     return int(found[1]) if found else None
 
 
+def _hex_digest(stated: str) -> str | None:
+    """SHA-1 in hex of a stated digest, in base 32 or in hex; null if it is neither."""
+    name, _, value = stated.partition(":")
+    if name.lower() != "sha1":
+        return None
+    if re.fullmatch(r"[0-9a-fA-F]{40}", value):
+        return value.lower()
+    return base64.b32decode(value.upper()).hex() if re.fullmatch(r"[A-Za-z2-7]{32}", value) else None
+
+
+def _target(headers: dict[str, str]) -> str | None:
+    try:
+        return base64.b64decode(headers["x-target-text"], validate=True).decode()
+    except (KeyError, ValueError):
+        return headers.get("warc-target-uri")
+
+
 def _row(record: Record) -> tuple:
     head, _, body = record.block.partition(END)
     kind = record.headers["warc-type"]
     length = re.search(rb"(?im)^content-length:\s*(\d+)", head)
     revisit = kind == "revisit"
     stated = record.headers.get("warc-payload-digest", "")
-    digest = base64.b32decode(stated[5:]).hex() if revisit and stated.startswith("sha1:") else hashlib.sha1(body).hexdigest()
-    text = record.headers.get("x-target-text")
-    url = base64.b64decode(text).decode() if text else record.headers.get("warc-target-uri")
+    digest = _hex_digest(stated) if revisit and stated else hashlib.sha1(body).hexdigest()
+    url = _target(record.headers)
     size = int(length[1]) if revisit and length else len(body)
     return _page(record.headers["warc-record-id"]), url, kind, _page(record.headers.get("warc-refers-to")), digest, size, None if revisit else body
 
@@ -222,7 +238,7 @@ def read_archives(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
 
     gaps: archive, start, end and reason of the bytes that were quarantined.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path", "content")
+    files = spark.read.format("binaryFile").load(folder).select("path", "content")
 
     def records(batches):
         for batch in batches:
