@@ -63,3 +63,10 @@ def test_contaminated(spark):
         assert kept.columns == frame.columns and sorted(r.doc_id for r in kept.collect()) == [2, 4, 5, 6]
     assert contaminated(frame, bench.limit(0)).count() == 0 and without_contaminated(frame, bench.limit(0)).count() == len(docs)
     assert contaminated(frame.limit(0), bench).count() == 0
+
+
+def test_short_items_match_word_for_word():
+    search = Items([(1, "What is the capital now"), (2, "Yes!"), (3, "...")], Contamination())
+    assert [m[:2] for m in search.matches("He asked: what is the CAPITAL, now?")] == [(1, 0)]
+    assert [m[0] for m in search.matches("yes")] == [2] and search.matches("yesterday") == []
+    assert search.matches("what is the capitol now") == [] and search.matches("now what is the capital") == []

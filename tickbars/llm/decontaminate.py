@@ -31,7 +31,7 @@ MATCH = "item_id long, distance int, start int"
 @dataclass(frozen=True)
 class Contamination:
     """``per_edit``: characters of an item per allowed edit; ``least``: an item with fewer characters
-    is no evidence and never matches; ``block``: characters of the items handled at once."""
+    matches only word for word, without an edit; ``block``: characters of the items handled at once."""
 
     per_edit: int = 15
     least: int = 24
@@ -68,7 +68,11 @@ class Items:
         self.items, pieces = [], {}
         for item_id, text in items:
             text = plain(text)
+            if not text:
+                continue
             if len(text) < spec.least:
+                pieces.setdefault(f" {text} ", []).append((len(self.items), None))
+                self.items.append((item_id, text, 0, {}))
                 continue
             edits = len(text) // spec.per_edit
             masks: dict[str, int] = {}
@@ -92,9 +96,12 @@ class Items:
         text = plain(text)
         tried: set[tuple[int, int]] = set()
         best: dict[int, tuple[int, int]] = {}
-        for end, (size, places) in self.pieces.iter(text):
+        for end, (size, places) in self.pieces.iter(f" {text} "):  # places are one further on than in the text
             for k, offset in places:
-                start = end + 1 - size - offset
+                if offset is None:
+                    best.setdefault(k, (0, end + 1 - size))
+                    continue
+                start = end - size - offset
                 if (k, start) in tried or best.get(k, (1,))[0] == 0:
                     continue
                 tried.add((k, start))
