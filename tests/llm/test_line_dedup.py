@@ -35,7 +35,7 @@ def brute_force(rows, spec):
     gone = set()
     for n, (i, h, k, words) in enumerate(places):
         for *_, other in places[:n]:
-            near = min(len(words), len(other)) >= spec.least_near and edit_distance(words, other) <= 1
+            near = min(len(words), len(other)) >= spec.least_near and abs(len(words) - len(other)) <= 1 and edit_distance(words, other) <= 1
             if words == other or near:
                 gone.add((i, h, k))
                 break

@@ -158,7 +158,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _rewritten(batches):
     """Batches that end in text and gone, with these replaced by what is left."""
-    for batch in batches:
+    for batch in slices(batches, limit=1 << 20):
         rows = []
         for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist()):
             lines = [] if text is None else text.split(b"\n")
