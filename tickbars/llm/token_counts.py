@@ -41,7 +41,7 @@ from tickbars.llm.bpe import _splitter
 from tickbars.llm.buffers import slices
 
 #: Pieces a task remembers; those it meets again cost a look-up.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 20
 #: Longer pieces are worked out each time; longer texts are split as a stream.
 LONG_PIECE, LONG_TEXT = 64, 1 << 20
 SLICE = 1 << 20
