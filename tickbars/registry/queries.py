@@ -416,7 +416,9 @@ def flat_fill(spark, sf):
 @query
 def carry_close(spark, sf):
     day = Day(spark, sf)
-    return shaping.carry_close(bars.daily_bars(day.loaded), day.expected, day.bar_stats)
+    stats = saved(day.bar_stats, "bar-stats")  # read by two branches
+    loaded = status.loadable_candles(quality.valid_candles(day.checked), stats)
+    return shaping.carry_close(bars.daily_bars(loaded), day.expected, stats)
 
 
 # Validation -----------------------------------------------------------------

@@ -24,6 +24,8 @@ def _schema(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
+# Columns of the tables that the library reads and writes.
+
 RAW_TICKS = _schema("symbol STRING, ts_raw STRING, price STRING, volume STRING, source_file STRING")
 
 TICKS = _schema(

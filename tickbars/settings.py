@@ -150,7 +150,7 @@ class Settings:
             ),
             limits=Limits(**{k: v for k, v in limits.items() if k in Limits.__dataclass_fields__}),
             columns=SourceColumns(**{k: v for k, v in names.items() if k in SourceColumns.__dataclass_fields__}),
-            timestamp_format=cfg.get("timestamp_format", "auto"),
+            timestamp_format=cfg.get("timestamp_format", cls.timestamp_format),
             source_format=cfg.get("source_format", cls.source_format),
             file_layout=cfg.get("file_layout", cls.file_layout),
             **extra,

@@ -31,6 +31,7 @@ from tickbars import schemas
 from tickbars.operators import merge, rules
 from tickbars.sources.paths import delete_path, folders_in, path_exists
 
+# Columns of the CSV output.
 CSV_COLUMNS = ("symbol", "minute_local", "ts", "open", "high", "low", "close", "volume", "had_trade")
 
 
