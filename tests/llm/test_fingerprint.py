@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR
-from tickbars.llm.fingerprint import Syncmers, as_text, fingerprints, likeness, with_anchors
+from tickbars.llm.fingerprint import Syncmers, _cuts, _with_bucket, as_text, fingerprints, likeness, with_anchors
 
 SCHEMA = "doc_id long, text string"
 
@@ -28,6 +28,22 @@ def test_edited_texts(spark, bucket):
     assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in found)
 
 
+def test_ids_at_both_ends_and_a_clashing_column(spark):
+    rows = [(-(2**63), "low"), (2**63 - 1, "high"), (0, "zero " * 9), (None, "none"), (-1, None), (1, "")]
+    frame = spark.createDataFrame(rows, SCHEMA).withColumn("anchors", F.lit(1)).withColumn("_bucket", F.lit("x"))
+    found = fingerprints(frame, Syncmers(bucket=1)).collect()
+    want = {i: hashlib.sha256(edited(t, n).encode()).hexdigest() for i, t, n in neighbours(rows)}
+    assert {r.doc_id: r.edited_sha256 for r in found} == want and len(found) == len(rows)
+
+
+def test_buckets_stay_small_whatever_the_ids(spark):
+    far = spark.range(20_000).select(F.when(F.col("id") == 5, 10**15).when(F.col("id") > 6_000, F.col("id")).alias("doc_id"), F.col("id").cast("string").alias("text"))
+    one = far.withColumn("doc_id", F.when(F.col("text").cast("int") % 3 == 0, 7).otherwise(F.col("doc_id")))
+    for docs in (far, one):
+        sizes = _with_bucket(docs, _cuts(docs, Syncmers())).groupBy("_bucket").count().agg(F.max("count"), F.count("*")).first()
+        assert sizes[0] < 4 * 128 and sizes[1] > 100
+
+
 def test_one_row_repeated_rows_and_none(spark):
     one = fingerprints(spark.createDataFrame([(1, "abcdef")], SCHEMA)).first()
     assert one.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest() and one.near_next == 1.0

@@ -7,9 +7,12 @@ hashes is the first or the last. That depends on the run alone, so an anchor
 survives any change outside of it. A fingerprint lists a text's anchors in
 order, each as 32 bits.
 
-The neighbour of a document is found by buckets of ids: within a bucket by a
-window, from bucket to bucket through the bucket's first document, so that no
-task orders all documents.
+The neighbour of a document is found by buckets of the order of (doc_id, hash
+of the text): within a bucket by a window, from bucket to bucket through the
+bucket's first document, so that no task orders all documents. Buckets are cut
+at quantiles of a sample of that order, so neither far ids nor rows without an
+id nor many rows of one id make a bucket large. Cuts decide about the size of
+tasks only, never about results.
 """
 
 from __future__ import annotations
@@ -23,11 +26,14 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Syncmers:
-    """``piece``: characters of a piece; ``size``: pieces of an anchor; ``bucket``: documents of a bucket, about."""
+    """``piece``: characters of a piece; ``size``: pieces of an anchor; ``bucket``: documents of a bucket, about;
+    ``buckets``: most buckets, beyond which they get larger; ``drawn``: rows per bucket that its cut is taken from."""
 
     piece: int = 4
     size: int = 6
     bucket: int = 128
+    buckets: int = 4096
+    drawn: int = 32
 
 
 def with_anchors(df: DataFrame, text: str, target: str, spec: Syncmers = Syncmers()) -> DataFrame:
@@ -82,44 +88,71 @@ def likeness(a: str, b: str, stretch: int = 8) -> Column:
     return F.when(none, F.lit(1.0)).otherwise(F.greatest(_common(F.col(a), F.col(b)), _common(placed(a), placed(b))))
 
 
-def _descending(keys: DataFrame, width: int = 1024, levels: int = 2) -> DataFrame:
-    """(key, next): for each distinct key the next lower one, for the lowest the highest."""
-    if not levels:
-        # One row per ``width``**2 keys is left here.
-        ordered = Window.partitionBy(F.lit(0)).orderBy(F.col("key").desc())
-        whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return keys.select("key", F.coalesce(F.lead("key").over(ordered), F.first("key").over(whole)).alias("next"))
-    grouped = keys.withColumn("group", F.floor(F.col("key") / width))
-    inner = grouped.withColumn("lower", F.lead("key").over(Window.partitionBy("group").orderBy(F.col("key").desc())))
-    tops = grouped.groupBy("group").agg(F.max("key").alias("top"))
-    chain = _descending(tops.select(F.col("group").alias("key")), width, levels - 1)
-    chain = chain.join(tops.withColumnRenamed("group", "next"), "next").select(F.col("key").alias("group"), "top")
-    return inner.join(chain, "group").select("key", F.coalesce("lower", "top").alias("next"))
+def _place() -> Column:
+    """(doc_id, hash of the text) as a string that sorts like the pair, null ids first."""
 
+    def sortable(x: Column) -> Column:
+        return F.lpad(F.hex(x.bitwiseXOR(F.lit(-(2**63)))), 16, "0")
 
-def with_next(docs: DataFrame, columns: list[str], spec: Syncmers = Syncmers()) -> DataFrame:
-    """``docs`` with the ``columns`` of the next document, in descending doc_id, as next_<name>.
+    known = F.when(F.col("doc_id").isNull(), "0").otherwise("1")
+    return F.concat(known, sortable(F.coalesce("doc_id", F.lit(0).cast("long"))), sortable(F.xxhash64("text")))
+
+
+def _cuts(docs: DataFrame, spec: Syncmers) -> list[str]:
+    """Ascending places that part the rows into buckets of about equal size."""
+    count = docs.count()
+    wanted = min(spec.buckets, -(-count // spec.bucket))
+    if wanted < 2:
+        return []
+    sample = docs.sample(min(1.0, wanted * spec.drawn / count), seed=1)
+    drawn = sorted(row.place for row in sample.select(_place().alias("place")).collect())
+    step = max(1, len(drawn) // wanted)
+    return sorted(set(drawn[step::step]))
+
+
+def _with_bucket(docs: DataFrame, cuts: list[str], width: int = 64) -> DataFrame:
+    """``docs`` with _place and _bucket, the number of cuts up to it, looked up in two steps."""
+
+    def up_to(places: Column) -> Column:
+        return F.size(F.filter(places, lambda p: p <= F.col("_place")))
+
+    placed = docs.withColumn("_place", _place())
+    if not cuts:
+        return placed.withColumn("_bucket", F.lit(0))
+    every, all_cuts = (F.split(F.lit(",".join(c)), ",") for c in (cuts[::width], cuts))
+    coarse = F.greatest(up_to(every) - 1, F.lit(0)) * width
+    return placed.withColumn("_coarse", coarse).withColumn(
+        "_bucket", F.col("_coarse") + up_to(F.slice(all_cuts, F.col("_coarse") + 1, F.lit(width)))
+    ).drop("_coarse")
+
+
+def with_next(docs: DataFrame, spec: Syncmers = Syncmers()) -> DataFrame:
+    """``docs`` (doc_id, text) with anchors, next_text and next_anchors, those of the next document in descending doc_id.
 
     After the last comes the first. Rows of one doc_id follow the hash of their
-    text, rows without an id come last.
+    text, rows without an id come last. Rows equal in doc_id and text share a
+    bucket.
     """
-    found = docs.agg(F.count("doc_id"), F.min("doc_id"), F.max("doc_id")).first()
-    count, low, high = found[0] or 1, found[1] or 0, found[2] or 0
-    width = max(1, (high - low + 1) * spec.bucket // count)
-    keyed = docs.withColumn("_hash", F.xxhash64("text")).withColumn(
-        "_bucket", F.coalesce(F.expr(f"(doc_id - {low}L) div {width}L"), F.lit(-1).cast("long"))
-    )
-    order = Window.partitionBy("_bucket").orderBy(F.col("doc_id").desc_nulls_last(), F.col("_hash").desc())
-    inner = keyed.withColumns({f"_next_{c}": F.lead(c).over(order) for c in ("_hash", *columns)})
-    place = F.struct(F.coalesce("doc_id", F.lit(-(2**63))), "_hash")
-    heads = keyed.groupBy("_bucket").agg(F.max_by(F.struct(*columns), place).alias("_head"))
-    chain = _descending(keyed.select(F.col("_bucket").alias("key")).distinct())
-    after = chain.join(heads.withColumnRenamed("_bucket", "next"), "next").select(F.col("key").alias("_bucket"), "_head")
-    # Only the last document of a bucket takes its neighbour from the chain.
-    joined = inner.join(after.hint("merge"), "_bucket")
-    within = F.col("_next__hash").isNotNull()
-    following = [F.when(within, F.col(f"_next_{c}")).otherwise(F.col("_head")[c]).alias(f"next_{c}") for c in columns]
-    return joined.select(*docs.columns, *following)
+    cuts = _cuts(docs, spec)
+    keyed = _with_bucket(docs, cuts)
+    order = Window.partitionBy("_bucket").orderBy(F.col("_place").desc())
+    own = with_anchors(keyed, "text", "anchors", spec)
+    inner = own.withColumns({f"_next_{c}": F.lead(c).over(order) for c in ("text", "anchors")})
+
+    # The first document of the bucket that follows; one row per bucket, ``spec.buckets`` at most.
+    tops = keyed.groupBy("_bucket").agg(F.max("_place").alias("_top"))
+    down = Window.partitionBy(F.lit(0)).orderBy(F.col("_bucket").desc())
+    whole = down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    chain = tops.select(F.col("_bucket").alias("_of"), F.coalesce(F.lead("_top").over(down), F.first("_top").over(whole)).alias("_place"))
+    heads = docs.withColumn("_place", _place()).join(F.broadcast(chain), "_place")
+    heads = heads.groupBy(F.col("_of").alias("_bucket")).agg(F.first("text").alias("_head_text"))
+    heads = with_anchors(heads, "_head_text", "_head_anchors", spec)
+
+    # Only the last document of a bucket takes its neighbour from there.
+    joined = inner.join(heads.hint("merge"), "_bucket")
+    within = F.col("_next_text").isNotNull()
+    following = [F.when(within, F.col(f"_next_{c}")).otherwise(F.col(f"_head_{c}")).alias(f"next_{c}") for c in ("text", "anchors")]
+    return joined.select(*docs.columns, "anchors", *following)
 
 
 def edited_text(text: Column, following: Column) -> Column:
@@ -134,8 +167,7 @@ def fingerprints(docs: DataFrame, spec: Syncmers = Syncmers()) -> DataFrame:
     A null text counts as empty.
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    own = with_anchors(plain, "text", "anchors", spec)
-    both = with_next(own, ["text", "anchors"], spec)
+    both = with_next(plain, spec)
     both = both.withColumn("edited", edited_text(F.col("text"), F.col("next_text")))
     both = with_anchors(both, "edited", "edited_anchors", spec)
     return both.select(
