@@ -77,7 +77,13 @@ def test_random_lines_with_a_frequent_one(spark):
             mine.append(" ".join(words))
         docs.append((i // 2, "\n".join(["The line that nearly every document of the table has", *mine])))
     run(spark, docs)
-    run(spark, docs, LineDedup(least=1, least_near=4))
+    run(spark, docs, LineDedup(least=3, least_near=4))
+
+
+def test_short_lines_and_lines_without_spaces(spark):
+    url = "https://example.org/" + "a" * 400
+    found = run(spark, [(1, f"{url}\nEnd."), (2, f"end.\n\n{url}\n\n new"), (3, f"{url}\r\n完全に同じ行"), (4, "完全に同じ行\n \n"), (4, "end. new")])
+    assert [r.kept for r in sorted(found, key=lambda r: (r.doc_id, r.n_lines))][1:] == ["\n\n new", "完全に同じ行", "end. new", " \n"]
 
 
 def test_empty_table(spark):

@@ -30,9 +30,9 @@ LINE = "id long, h long, line int, n int, a long, b long, halves array<long>"
 
 @dataclass(frozen=True)
 class LineDedup:
-    """``least``: fewest words of a line that may go as an exact repeat; ``least_near``: the same for one edit."""
+    """``least``: fewest words of a line that may go as an exact repeat; ``least_near``: words per edit, so fewest of a near line."""
 
-    least: int = 3
+    least: int = 1
     least_near: int = 8
 
 
@@ -176,8 +176,8 @@ def dedup_lines(docs: DataFrame, spec: LineDedup = LineDedup(), carry: tuple[str
     number), has the same words or lies within one edit of it; places are
     compared on the input, so what removes a line may go itself. A null doc_id
     comes first. Rows equal in doc_id and text are one place and stay alike.
-    Lines with fewer than ``least`` words stay. A null text has no lines and
-    stays null.
+    Lines without words stay, and those with fewer than ``least``. A line without
+    white space is one word, however long. A null text has no lines and stays null.
     """
     texts = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("id"),

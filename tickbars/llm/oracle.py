@@ -18,7 +18,7 @@ l AS (
     SELECT *, list_filter(string_split_regex(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                                        'abcdefghijklmnopqrstuvwxyz'), '{SPACE}'), lambda x: x <> '') AS words
     FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS k FROM docs))),
-kinds AS (SELECT w, any_value(words) AS words, any_value(n) AS n, min(row(doc_id, k)) AS place FROM l WHERE n >= 3 GROUP BY w),
+kinds AS (SELECT w, any_value(words) AS words, any_value(n) AS n, min(row(doc_id, k)) AS place FROM l WHERE n > 0 GROUP BY w),
 variants AS (
   SELECT w, place, i, array_to_string(list_concat(words[:i - 1], words[i + 1:]), ' ') AS v
   FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM kinds WHERE n >= 8)),
@@ -27,7 +27,7 @@ near AS (
   UNION SELECT a.w FROM variants a JOIN kinds b ON a.v = b.w WHERE b.n >= 8 AND b.place < a.place
   UNION SELECT b.w FROM variants a JOIN kinds b ON a.v = b.w WHERE b.n >= 8 AND a.place < b.place),
 fate AS (
-  SELECT l.*, l.n >= 3 AND (near.w IS NOT NULL OR row(doc_id, k) <> place) AS gone
+  SELECT l.*, l.n > 0 AND (near.w IS NOT NULL OR row(doc_id, k) <> place) AS gone
   FROM l LEFT JOIN kinds USING (w) LEFT JOIN near USING (w))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT gone), '')) AS kept_sha256
