@@ -71,6 +71,46 @@ def test_copies_are_learned_from_as_one(spark):
     assert sorted(learnt) == sorted(t for t, in rows) and model.total > 500
 
 
+@pytest.fixture(scope="module")
+def learnt(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("doc_id < 60").select("text")
+    rare = spark.createDataFrame([("zq" * 40 + str(i),) for i in range(40)], "text string")
+    return docs.union(docs.limit(3)).union(rare)
+
+
+def test_a_model_does_not_depend_on_the_texts_drawn_first(spark, learnt):
+    models = [train(learnt, MixSpec(bits=14, sample=n, sample_bytes=10**6)).mixer for n in (0, 1, 1000)]
+    for other in models[1:]:
+        assert np.allclose(models[0].by_place, other.by_place, atol=0.02) and np.allclose(models[0].map, other.map, atol=0.01)
+    text = [int.from_bytes(b"\n\n\n\n\n the words\n"[k : k + 6], "big") for k in range(11)]
+    scores = [m.log10(np.array(text, np.int64)).sum() for m in models]
+    assert scores[1:] == pytest.approx(scores[:1] * 2, rel=1e-3)
+
+
+def test_weights_and_map_are_the_best_for_all_training_texts(learnt):
+    """Text by text, byte by byte, without the counted n-grams: no slope is left, and the map holds the shares of ones."""
+    mixer = train(learnt, MixSpec(bits=14)).mixer
+    codes = np.concatenate([lm_score._codes(*lm_score._buffer([r.text])[:2]) for r in learnt.collect()])
+    first, by_count, blank = lm_score.Mixer.first()
+    slope = [mixer.by_place - first, (mixer.by_count - by_count)]
+    hits, ones = np.full(blank.shape, 50.0), 50.0 * blank
+    slots, table = lm_score._slots(codes, 14), np.arange(7)
+    for j in range(8):
+        own = ((codes >> (7 - j)) & 1).astype(np.float64)
+        logits, longest, bucket = mixer._inputs(slots[:, j], own.astype(np.float32))
+        by_place = (mixer.by_place[longest * 8 + j] * logits.T).sum(axis=1)
+        by_counts = (mixer.by_count[longest[:, None], table, bucket.T] * logits.T).sum(axis=1)
+        np.add.at(slope[0], longest * 8 + j, (logits * (1 / (1 + np.exp(-by_place)) - own)).T)
+        np.add.at(slope[1], (longest[:, None], table, bucket.T), (logits * (1 / (1 + np.exp(-by_counts)) - own)).T)
+        node = (1 << j) | ((codes & 255) >> (8 - j))
+        at = np.clip(((by_place + by_counts) / 2 + 8) * 2, 0, 31.999)
+        for low, part in ((np.floor(at).astype(int), 1 - at % 1), (np.floor(at).astype(int) + 1, at % 1)):
+            np.add.at(hits, (node, low), part)
+            np.add.at(ones, (node, low), part * own)
+    assert max(np.abs(s).max() for s in slope) < 1e-3 * len(codes)
+    assert np.allclose(mixer.map, np.clip(ones / hits, 1e-5, 1 - 1e-5), atol=1e-3)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     model = train(none, QUICK)

@@ -10,10 +10,15 @@ seen; the mean of both is refined by an adaptive probability map.
 
 The counts come from all training texts: n-grams are counted in the tasks,
 summed by Spark, and their bits summed into the tables, whose size is fixed.
-Weights and map are learned online over a bounded sample of training texts,
-each bit left out of its own counts, and then held, so that a score does not
-depend on the order of tasks. A byte's probability depends on six bytes only;
-tasks keep what they have worked out.
+Weights and map come from all training texts too, each bit left out of its own
+counts: a prediction depends on six bytes only, so all occurrences of an n-gram
+say the same and count together. The weights of a gate are a logistic
+regression of their own. Rounds of Newton's method take them to the best ones:
+in each the tasks go through all n-grams and Spark sums slopes and curvatures,
+which have a fixed size. One more round fills the map. Weights and map are then
+held, so that a score does not depend on the order of tasks; in scoring, tasks
+keep what they have worked out. An online pass over some texts may say where the
+rounds begin; the best weights are the same from anywhere.
 
 The unigram base needs the count of every token. Tokens that make up a share
 of ``frequent`` of all or more, 1 / ``frequent`` of them at most, are sent to
@@ -22,6 +27,7 @@ the tasks; the others are joined.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,15 +51,19 @@ BLOCK = 1 << 12
 
 @dataclass(frozen=True)
 class MixSpec:
-    """``bits``: log2 of the slots per order; ``sample``: different training texts (about) that weights are learned on,
-    and ``sample_bytes`` of them at most; ``batch``: bytes between updates; ``frequent``: see above."""
+    """``bits``: log2 of the slots per order; ``sample``: different training texts (about) of an online pass before the
+    rounds, and ``sample_bytes`` of them at most; ``batch``: bytes between its updates; ``frequent``: see above; ``tolerance``: the rounds end when the next one can gain less (nats per training bit),
+    or after ``rounds``; ``pull``: strength that holds a weight at its first value, in training bits."""
 
     bits: int = 20
-    sample: int = 1000
+    sample: int = 0
     sample_bytes: int = 1_500_000
     batch: int = 4096
     rate: float = 0.03
     frequent: float = 1e-6
+    tolerance: float = 1e-7
+    rounds: int = 30
+    pull: float = 1.0
 
 
 def normal(text: str | None) -> bytes:
@@ -206,15 +216,21 @@ class Mixer:
     BUCKETS = 14
     #: Added to zeros and ones, so that a logit is finite.
     PRIOR = 0.1
+    #: Bits that an entry of the map has before any falls to it.
+    HELD = 50
 
     def __init__(self, counts: np.ndarray, spec: MixSpec) -> None:
         self.counts, self.spec = counts, spec
-        start = np.array([0.0, 0.05, 0.1, 0.15, 0.2, 0.25, 0.25], np.float32)
-        self.by_place = np.tile(start, (WIDTH * 8, 1))
-        self.by_count = np.tile(start[:, None], (WIDTH, 1, self.BUCKETS))
-        self.map = np.tile(_squash(np.linspace(-8, 8, self.STEPS)), (256, 1))
+        self.by_place, self.by_count, self.map = self.first()
         self.squares = [np.zeros_like(self.by_place), np.zeros_like(self.by_count)]
 
+    @classmethod
+    def first(cls) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Weights and map before anything is learned."""
+        start = np.array([0.0, 0.05, 0.1, 0.15, 0.2, 0.25, 0.25], np.float32)
+        by_count = np.tile(start[:, None], (WIDTH, 1, cls.BUCKETS))
+        return np.tile(start, (WIDTH * 8, 1)), by_count, np.tile(_squash(np.linspace(-8, 8, cls.STEPS)), (256, 1))
+
     def _inputs(self, slots: np.ndarray, own: np.ndarray | None):
         """Logits (tables, n), the longest context known, and a bucket of every count; ``own``: bits to leave out."""
         zeros, ones = self.counts[0][slots], self.counts[1][slots]
@@ -278,6 +294,131 @@ class Mixer:
                 self.bit(slots[:, j], j, (1 << j) | ((part & 255) >> (8 - j)), ones[j].astype(np.float32))
 
 
+    def _left_out(self, codes: np.ndarray):
+        """Per bit of the codes, which are part of the counts: bit, node, value, and inputs without this one."""
+        slots, ones = _slots(codes, self.spec.bits), _bits_of(codes)
+        for j in range(8):
+            own = ones[j].astype(np.float32)
+            yield j, (1 << j) | ((codes & 255) >> (8 - j)), own, *self._inputs(slots[:, j], own)
+
+    #: Shapes of the sums over all training bits: losses, slopes and curvatures of both gates.
+    FEATURES = TABLES * BUCKETS
+    MOMENTS = ((WIDTH * 8,), (WIDTH * 8, TABLES), (WIDTH * 8, TABLES, TABLES), (WIDTH,), (WIDTH, FEATURES), (WIDTH, FEATURES, FEATURES))
+
+    def moments(self, codes: np.ndarray, times: np.ndarray) -> list[np.ndarray]:
+        """``MOMENTS`` at the present weights, of codes that occur ``times``."""
+        out = [np.zeros(shape) for shape in self.MOMENTS]
+        table = np.arange(TABLES)[:, None]
+        left, right = np.triu_indices(TABLES)
+        for j, _, own, logits, longest, bucket in self._left_out(codes):
+            place, feature = longest * 8 + j, table * self.BUCKETS + bucket
+            first = np.einsum("kn,nk->n", logits, self.by_place[place])
+            second = np.einsum("kn,kn->n", logits, self.by_count[longest[None], table, bucket])
+            off, curve, loss = _logistic(first, own, times)
+            np.add.at(out[0], place, loss)
+            for k in range(WIDTH):
+                mine = longest == k
+                x = logits[:, mine].astype(np.float64)
+                out[1][k * 8 + j] -= x @ off[mine]
+                out[2][k * 8 + j] += (x * curve[mine]) @ x.T
+            off, curve, loss = _logistic(second, own, times)
+            out[3] += np.bincount(longest, loss, WIDTH)
+            out[4] -= np.bincount((longest * self.FEATURES + feature).ravel(), (logits * off).ravel(), out[4].size).reshape(out[4].shape)
+            pair = (longest * self.FEATURES + feature[left]) * self.FEATURES + feature[right]
+            out[5] += np.bincount(pair.ravel(), (logits[left] * logits[right] * curve).ravel(), out[5].size).reshape(out[5].shape)
+        return out
+
+    def mapped(self, codes: np.ndarray, times: np.ndarray) -> list[np.ndarray]:
+        """Per entry of the map, the bits that fall to it and the ones among them."""
+        hits, found = np.zeros(self.map.size), np.zeros(self.map.size)
+        table = np.arange(TABLES)[:, None]
+        for j, node, own, logits, longest, bucket in self._left_out(codes):
+            first = np.einsum("kn,nk->n", logits, self.by_place[longest * 8 + j])
+            second = np.einsum("kn,kn->n", logits, self.by_count[longest[None], table, bucket])
+            low, share, _ = self._mapped(node, (first + second) / 2)
+            for k, part in ((low, 1 - share), (low + 1, share)):
+                hits += np.bincount(node * self.STEPS + k, part * times, self.map.size)
+                found += np.bincount(node * self.STEPS + k, part * times * own, self.map.size)
+        return [hits, found]
+
+
+def _logistic(logit: np.ndarray, own: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What each logit falls short by, its curvature and its loss in nats, all times ``times``."""
+    p = _squash(logit)
+    return times * (own - p), times * p * (1 - p), times * (np.logaddexp(0, logit) - own * logit)
+
+
+def _over_all(grams: DataFrame, shapes: Sequence[tuple[int, ...]], made: Callable[[np.ndarray, np.ndarray], list[np.ndarray]]) -> list[np.ndarray]:
+    """The sums of what ``made`` gives for all (key, n), on the driver; Spark adds up the tasks' sums block by block."""
+    sizes = [int(np.prod(shape)) for shape in shapes]
+
+    def add(batches):
+        sums = np.zeros(sum(sizes))
+        for batch in batches:
+            codes, times = (batch.column(k).to_numpy() for k in range(2))
+            for a in range(0, len(codes), 1 << 15):
+                parts = made(codes[a : a + (1 << 15)], times[a : a + (1 << 15)].astype(np.float64))
+                sums += np.concatenate([p.ravel() for p in parts])
+        for a in range(0, len(sums), BLOCK):
+            if sums[a : a + BLOCK].any():
+                yield _block_row(a // BLOCK, sums[a : a + BLOCK])
+
+    def total(batches):
+        for batch in batches:
+            for block, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                yield _block_row(block, np.sum([np.frombuffer(p) for p in sorted(parts)], axis=0))
+
+    rows = grams.select("key", "n").mapInArrow(add, "block int, counts binary")
+    rows = rows.groupBy("block").agg(F.collect_list("counts").alias("parts")).mapInArrow(total, "block int, counts binary")
+    out = np.zeros(sum(sizes))
+    for row in rows.toLocalIterator():
+        part = np.frombuffer(row.counts)
+        out[row.block * BLOCK : row.block * BLOCK + len(part)] = part
+    return [p.reshape(shape) for p, shape in zip(np.split(out, np.cumsum(sizes)[:-1]), shapes)]
+
+
+def _fit(mixer: Mixer, grams: DataFrame) -> None:
+    """Weights and map of all training texts, given as n-grams (key, n)."""
+    spec, shared = mixer.spec, grams.sparkSession.sparkContext.broadcast(mixer.counts)
+
+    def over_all(shapes, name):
+        weights = mixer.by_place, mixer.by_count
+
+        def made(codes, times):
+            own = Mixer(shared.value, spec)
+            own.by_place, own.by_count = weights
+            return getattr(own, name)(codes, times)
+
+        return _over_all(grams, shapes, made)
+
+    first, by_count, blank = Mixer.first()
+    rest = [first.astype(np.float64), by_count.reshape(WIDTH, -1).astype(np.float64)]
+    tried = [mixer.by_place.astype(np.float64), mixer.by_count.reshape(WIDTH, -1).astype(np.float64)]
+    best, least, step, gain = [t.copy() for t in tried], [np.inf, np.inf], [0.0 * t for t in tried], [np.zeros(len(t)) for t in tried]
+    bits = 8 * (grams.agg(F.sum("n")).first()[0] or 0)
+    for _ in range(spec.rounds):
+        mixer.by_place, mixer.by_count = tried[0], tried[1].reshape(by_count.shape)
+        sums = over_all(Mixer.MOMENTS, "moments")
+        for k in range(2):
+            loss, slope, curve = sums[3 * k : 3 * k + 3]
+            curve = curve + np.triu(curve, 1).swapaxes(1, 2) if k else curve  # one triangle was summed
+            away = tried[k] - rest[k]
+            loss, slope = loss + spec.pull / 2 * (away**2).sum(axis=1), slope + spec.pull * away
+            good = loss <= least[k]  # of each regression; a step that made it worse is halved
+            found = -np.linalg.solve(curve + spec.pull * np.eye(slope.shape[1]), slope[..., None])[..., 0]
+            best[k] = np.where(good[:, None], tried[k], best[k])
+            least[k] = np.where(good, loss, least[k])
+            gain[k] = np.where(good, -(slope * found).sum(axis=1) / 2, gain[k])
+            step[k] = np.where(good[:, None], found, step[k] / 2)
+            tried[k] = best[k] + step[k]
+        if gain[0].sum() + gain[1].sum() <= spec.tolerance * bits:
+            break
+    mixer.by_place, mixer.by_count = best[0].astype(np.float32), best[1].reshape(by_count.shape).astype(np.float32)
+    hits, found = over_all([blank.shape, blank.shape], "mapped")
+    mixer.map = np.clip((found + Mixer.HELD * blank) / (hits + Mixer.HELD), 1e-5, 1 - 1e-5)
+    shared.unpersist()
+
+
 @dataclass
 class TextModel:
     """``counts``: table (key, n) of all training tokens; the frequent ones also as sorted arrays."""
@@ -290,12 +431,8 @@ class TextModel:
     kinds: int
 
 
-def train(texts: DataFrame, spec: MixSpec = MixSpec()) -> TextModel:
-    """A model of all rows of ``texts`` (text); a null text counts as empty."""
-    counted = saved(_count(texts).groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
-    grams, tokens = counted.where("kind = 0"), counted.where("kind = 1").select("key", "n")
-    mixer = Mixer(_tables(grams, spec.bits), spec)
-    # Copies of a text are drawn as one, so that no group of them fills the sample.
+def _drawn(texts: DataFrame, spec: MixSpec) -> list[str]:
+    """Texts for the pass before the rounds; copies of a text are drawn as one."""
     rows = texts.where("text IS NOT NULL").select("text", F.pmod(F.xxhash64("text"), F.lit(1 << 30)).alias("draw"))
     size = rows.agg(F.approx_count_distinct(F.xxhash64("text"))).first()[0]
     share = int((1 << 30) * min(1.0, spec.sample / size)) if size else 0
@@ -305,7 +442,17 @@ def train(texts: DataFrame, spec: MixSpec = MixSpec()) -> TextModel:
         if used > spec.sample_bytes and drawn:
             break
         drawn.append(row.text)
-    mixer.learn(drawn)
+    return drawn
+
+
+def train(texts: DataFrame, spec: MixSpec = MixSpec()) -> TextModel:
+    """A model of all rows of ``texts`` (text); a null text counts as empty."""
+    counted = saved(_count(texts).groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
+    grams, tokens = counted.where("kind = 0"), counted.where("kind = 1").select("key", "n")
+    mixer = Mixer(_tables(grams, spec.bits), spec)
+    if spec.sample:
+        mixer.learn(_drawn(texts, spec))
+    _fit(mixer, grams)
     total, kinds = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     often = tokens.where(F.col("n") >= max(1.0, spec.frequent * total)).toPandas().sort_values("key")
     return TextModel(mixer, tokens, often["key"].to_numpy(np.int64), often["n"].to_numpy(np.int64), total, kinds)
