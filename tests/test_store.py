@@ -209,3 +209,19 @@ def test_an_unfinished_note_of_work_is_dropped(spark, store, tmp_path):
     (tmp_path / "store" / "_intents" / "half" / "ticks").mkdir(parents=True)
     store.recover()
     assert rows(store.read(tables.ARCHIVE), "price") == [(2.0,)] and not list((tmp_path / "store" / "_intents").iterdir())
+
+
+def test_few_rows_of_many_days_are_written_by_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tickbars.sources.store import STALE, Store
+
+    store = Store(spark, str(tmp_path / "spread"))
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key)
+    days = spark.range(4000).select(F.expr("date_add(date'2024-01-01', int(id % 40))").alias("trade_date"))
+    rows = days.withColumn("n_rows", F.monotonically_increasing_id()).withColumn("problem", F.sha2(F.col("n_rows").cast("string"), 512))
+    store.overwrite_partitions(STALE, rows)
+    files = [f for f in (tmp_path / "spread").rglob("part-*.parquet")]
+    assert len(files) == 40 and len({f.name.split("-")[1] for f in files}) == 2
+    assert store.read(STALE).count() == 4000 and spark.conf.get(key) == before

@@ -63,6 +63,26 @@ RULES = {CANDLES.name: rules.CANDLE_RULES, DAY_STATUS.name: rules.STATUS_RULES}
 BUCKETS = 16
 
 
+#: Size from which shuffled rows of a write get a task of their own.
+OWN_TASK = "16k"
+
+
+@contextmanager
+def _spread(spark: SparkSession) -> Iterator[None]:
+    """Writes within keep small shuffle partitions apart, as far as there are cores.
+
+    Merged, a table with a few rows for each of many days goes to one task,
+    which opens one file after another.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, OWN_TASK)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _always(column: str, schema: T.StructType) -> Column:
     """A comparison that holds for every value that is not null."""
     kind = schema[column].dataType
@@ -114,13 +134,14 @@ class Store:
         out = schemas.conform(rows, table.schema)
         if cluster:
             out = out.hint("rebalance", *table.partition)
-        (
-            out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("compression", "zstd")
-            .partitionBy(*table.partition)
-            .parquet(self.path(table))
-        )
+        with _spread(out.sparkSession):
+            (
+                out.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .option("compression", "zstd")
+                .partitionBy(*table.partition)
+                .parquet(self.path(table))
+            )
 
     def _bucket(self, path: str) -> Column:
         return F.pmod(F.xxhash64(path), F.lit(self.buckets)).cast("int").alias("bucket")
